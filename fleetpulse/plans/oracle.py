@@ -264,6 +264,47 @@ FROM k"""
     return q
 
 
+def serving_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    base = with_(*SILVER_ALL, FLEET)
+    q["dash_map_points"] = base + """
+SELECT delay_bucket, lat, lon, routeShortName, transportationType, delay_min, speed FROM fleet"""
+    q["dash_vehicle_table"] = base + """
+SELECT vehicleId, routeShortName, headsign, transportationType, model, delay_min, speed
+FROM fleet ORDER BY delay_min DESC NULLS LAST, vehicleId"""
+    q["dash_counters"] = with_(*SILVER_ALL, FLEET) + f"""
+SELECT max(event_time_local) AS last_update_local, count(*) AS fleet_rows,
+  CAST(1 AS BIGINT) AS kpi_rows,
+  count(DISTINCT vehicleId) AS active_vehicles,
+  count(DISTINCT CASE WHEN is_moving = false THEN vehicleId END) AS stopped_vehicles,
+  count(DISTINCT CASE WHEN delay > 120 THEN vehicleId END) AS delayed_vehicles,
+  {mean_tenths('CAST(sum(tenths) AS BIGINT)', 'count(tenths)')} AS avg_delay_min
+FROM fleet_t"""
+    q["top_delayed_routes"] = core_sql()["route_summary"] + """
+ORDER BY avg_delay_min DESC NULLS LAST, routeId, routeShortName, transportationType
+LIMIT 10"""
+    q["top_destinations"] = core_sql()["destination_summary"] + """
+ORDER BY active_vehicles DESC NULLS LAST, routeShortName, headsign, transportationType
+LIMIT 10"""
+    q["recent_rows"] = with_(FEED) + """
+SELECT "offset" AS event_id, vehicleId, generated_text AS generated, enqueued_ts
+FROM feed ORDER BY enqueued_ts DESC, "partition" DESC, "offset" DESC LIMIT 20"""
+    snap = with_(FEED) + """,
+snap AS (SELECT * FROM feed WHERE lastUpdate = (SELECT max(lastUpdate) FROM feed))
+"""
+    q["map_markers"] = snap + """
+SELECT lat, lon, CASE WHEN delay > 120 THEN 'red' ELSE 'green' END AS color,
+  coalesce(routeShortName, 'None') || ' | Delay: ' || coalesce(CAST(delay AS VARCHAR), 'None')
+    || ' s' AS popup
+FROM snap"""
+    q["map_legend"] = snap + """
+SELECT count(*) AS total, count(*) FILTER (WHERE delay > 120) AS delayed,
+  count(*) - count(*) FILTER (WHERE delay > 120) AS on_time
+FROM snap"""
+    return q
+
+
 def oracle_queries() -> dict[str, str]:
     q = core_sql()
+    q.update(serving_sql())
     return q

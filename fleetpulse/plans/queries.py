@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.functions import scalar as S
-from fleetpulse.operators import clean, enrich, gold
+from fleetpulse.operators import clean, enrich, gold, serving
 from fleetpulse.plans.silver import build_silver
 from fleetpulse.sources import adapters as A
 
@@ -171,3 +171,50 @@ def q_fleet_current(spark, sf):
 @register("live_kpi")
 def q_live_kpi(spark, sf):
     return gold.live_kpi(gold.fleet_current(silver(spark, sf)))
+
+
+# --- serving: dashboard, map, top-k -------------------------------------------
+
+def fleet(spark, sf):
+    return gold.fleet_current(silver(spark, sf))
+
+
+@register("dash_map_points")
+def q_dash_map_points(spark, sf):
+    return serving.dash_map_points(fleet(spark, sf))
+
+
+@register("dash_vehicle_table")
+def q_dash_vehicle_table(spark, sf):
+    return serving.dash_vehicle_table(fleet(spark, sf))
+
+
+@register("dash_counters")
+def q_dash_counters(spark, sf):
+    return serving.dash_counters(fleet(spark, sf))
+
+
+@register("top_delayed_routes")
+def q_top_delayed_routes(spark, sf):
+    return serving.top_delayed_routes(gold.route_summary(silver(spark, sf)), 10)
+
+
+@register("top_destinations")
+def q_top_destinations(spark, sf):
+    return serving.top_destinations(gold.destination_summary(silver(spark, sf)), 10)
+
+
+@register("recent_rows")
+def q_recent_rows(spark, sf):
+    return serving.recent_rows(A.feed(spark, sf), 20).select(
+        F.col("offset").alias("event_id"), "vehicleId", "generated", "enqueued_ts")
+
+
+@register("map_markers")
+def q_map_markers(spark, sf):
+    return serving.map_markers(serving.latest_snapshot(A.feed(spark, sf), "lastUpdate"))
+
+
+@register("map_legend")
+def q_map_legend(spark, sf):
+    return serving.map_legend(serving.latest_snapshot(A.feed(spark, sf), "lastUpdate"))
