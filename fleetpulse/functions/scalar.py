@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "c", "utc_time", "local_time", "delay_min", "delay_tenths",
+    "c", "utc_time", "utc_instant", "local_time", "delay_min", "delay_tenths",
     "delay_bucket", "is_delayed", "is_stopped", "is_moving", "has_trip",
     "gps_ok", "in_box", "normalise_type", "marker_color", "marker_popup",
     "snapshot_name", "BOX", "TYPE_NAMES",
@@ -39,6 +39,12 @@ def utc_time(text) -> Column:
     return F.convert_timezone(None, F.lit("UTC"), F.try_to_timestamp(c(text)))
 
 
+def utc_instant(utc_ntz) -> Column:
+    """UTC wall-clock ``timestamp_ntz`` -> zoned instant (``timestamp``),
+    correct under any session time zone."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), c(utc_ntz)).cast("timestamp")
+
+
 def local_time(utc_ntz, tz: str = "Europe/Warsaw") -> Column:
     """UTC wall time -> local wall time (DST aware), NTZ in and out."""
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), c(utc_ntz))

@@ -304,7 +304,65 @@ FROM snap"""
     return q
 
 
+ISO_HOUR = "strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%SZ')"
+FLAT = f"""
+SELECT vehicleId, generated_text AS generated, {ISO_HOUR} AS lastUpdate, routeShortName,
+       delay, lat, lon"""
+
+
+def io_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["bronze_parse"] = with_(FEED) + """
+SELECT "offset" AS event_id, vehicleId, tripId, routeId, headsign, delay, speed, lat, lon,
+       generated_text AS generated, "partition", enqueued_ts, event_time, 'stream' AS _source
+FROM feed"""
+    q["publish_payload"] = with_(FEED) + f"""
+SELECT event_id, vehicleId, tripId, headsign, delay,
+  CASE WHEN k % 10 <> 0 THEN {ISO_HOUR} END AS scheduledTripStartTime,
+  CAST(17 AS INT) AS n_keys
+FROM feed"""
+    q["snapshot_name"] = """
+SELECT event_id, 'gps_' || strftime(ts, '%Y%m%d_%H%M%S') || '.json' AS file_name FROM events"""
+    q["snapshot_flatten"] = with_(FEED) + FLAT + " FROM feed"
+    q["latest_snapshot_file"] = with_(FEED) + FLAT + """
+FROM feed WHERE date_trunc('hour', ts) = (SELECT max(date_trunc('hour', ts)) FROM feed)"""
+    q["roster_unwrap"] = with_(VEHICLES_DIM.replace("AS carrier", "AS carrirer")) + """
+SELECT vehicleCode, transportationType, brand, model, carrirer, seats FROM vehicles_dim"""
+    q["csv_roundtrip"] = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
+    q["json_roundtrip"] = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
+    q["load_metadata"] = """
+SELECT n_nationkey, n_name, n_regionkey, 'nation.csv' AS source_file, true AS stamped
+FROM nation"""
+    q["merge_insert_only"] = """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+WHERE c_acctbal < 5000
+UNION ALL
+SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment FROM customer
+WHERE NOT (c_acctbal < 5000)"""
+    q["merge_composite_key"] = """
+WITH li AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate
+            FROM lineitem),
+first AS (SELECT * FROM li WHERE l_shipdate < TIMESTAMP '1998-01-01')
+SELECT * FROM first
+UNION ALL
+SELECT * FROM li s WHERE NOT EXISTS (
+  SELECT 1 FROM first t WHERE t.l_orderkey = s.l_orderkey AND t.l_linenumber = s.l_linenumber)"""
+    q["overwrite_schema"] = """
+SELECT n_nationkey, n_name, n_regionkey, CAST(length(n_name) AS INT) AS n_name_length FROM nation"""
+    q["load_report"] = """
+SELECT 'bronze_gtfs_routes' AS table_name, count(*) AS row_count, 'merged' AS action,
+       'route_id' AS merge_key FROM nation
+UNION ALL SELECT 'bronze_gtfs_stops', count(*), 'merged', 'stop_id' FROM supplier
+UNION ALL SELECT 'bronze_gtfs_trips', count(*), 'merged', 'trip_id' FROM orders
+UNION ALL SELECT 'bronze_gtfs_stop_times', count(*), 'merged', 'trip_id, stop_sequence' FROM lineitem
+UNION ALL SELECT 'bronze_gtfs_calendar_dates', count(*), 'merged', 'service_id, date' FROM orders
+UNION ALL SELECT 'bronze_gtfs_agency', count(*), 'merged', 'agency_id' FROM region
+UNION ALL SELECT 'bronze_vehicles', count(*), 'merged', 'vehicleCode' FROM customer"""
+    return q
+
+
 def oracle_queries() -> dict[str, str]:
     q = core_sql()
     q.update(serving_sql())
+    q.update(io_sql())
     return q

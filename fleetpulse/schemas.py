@@ -62,8 +62,7 @@ ROUTE_ENRICH_COLUMNS = ("route_id", "route_type", "route_color", "route_text_col
 # ``001122`` keeps its zeros; route_id is int because events carry int ids.
 GTFS_SCHEMAS = {
     "routes.txt": "route_id INT, agency_id STRING, route_short_name STRING, "
-                  "route_long_name STRING, route_desc STRING, route_type INT, "
-                  "route_url STRING, route_color STRING, route_text_color STRING",
+                  "route_type INT, route_color STRING, route_text_color STRING",
     "stops.txt": "stop_id STRING, stop_code STRING, stop_name STRING, "
                  "stop_lat DOUBLE, stop_lon DOUBLE",
     "trips.txt": "route_id INT, service_id STRING, trip_id STRING, "

@@ -126,7 +126,7 @@ def routes_bronze(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFram
     return out
 
 
-def vehicles_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def vehicles_bronze(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
     """Vehicle roster rows from ``customer``."""
     cu = read_table(spark, sf_dir, "customer")
     seg = F.col("c_mktsegment")
@@ -150,4 +150,65 @@ def vehicles_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         (key % 5 != 0).alias("ticketMachine"),
         (key % 7 == 0).alias("usb"),
         F.lit("vehicles.json").alias("source_file"),
+        *([key] if with_key else []),
     )
+
+
+def _hms(seconds: Column) -> Column:
+    """Seconds -> ``HH:MM:SS`` text; hours may pass 24 (after-midnight trips)."""
+    return F.concat_ws(":", F.lpad((seconds / 3600).cast("long").cast("string"), 2, "0"),
+                       F.lpad(((seconds % 3600) / 60).cast("long").cast("string"), 2, "0"),
+                       F.lpad((seconds % 60).cast("string"), 2, "0"))
+
+
+def gtfs_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Transit reference files derived from the order/part tables."""
+    t = lambda n: read_table(spark, sf_dir, n)
+    nation, supplier, orders, lineitem, region = (
+        t("nation"), t("supplier"), t("orders"), t("lineitem"), t("region"))
+    ymd = F.date_format("o_orderdate", "yyyyMMdd")
+    return {
+        "routes.txt": nation.select(
+            F.col("n_nationkey").alias("route_id"),
+            F.col("n_regionkey").cast("string").alias("agency_id"),
+            F.col("n_name").alias("route_short_name"),
+            F.col("n_regionkey").alias("route_type"),
+            F.col("n_name").alias("route_color"),
+            F.lit("FFFFFF").alias("route_text_color")),
+        "stops.txt": supplier.select(
+            F.col("s_suppkey").cast("string").alias("stop_id"),
+            F.lpad(F.col("s_suppkey").cast("string"), 6, "0").alias("stop_code"),
+            F.col("s_name").alias("stop_name"),
+            ((F.lit(542000) + (F.col("s_suppkey") % 400) * 10) / F.lit(10000.0)).alias("stop_lat"),
+            ((F.lit(183000) + (F.col("s_suppkey") % 700) * 10) / F.lit(10000.0)).alias("stop_lon")),
+        "trips.txt": orders.select(
+            (F.col("o_custkey") % 30).cast("int").alias("route_id"),
+            ymd.alias("service_id"),
+            F.col("o_orderkey").cast("string").alias("trip_id"),
+            F.col("o_orderpriority").alias("trip_headsign"),
+            (F.col("o_orderkey") % 2).cast("int").alias("direction_id")),
+        "stop_times.txt": lineitem.select(
+            F.col("l_orderkey").cast("string").alias("trip_id"),
+            _hms(F.col("l_partkey") % 93600).alias("arrival_time"),
+            _hms(F.col("l_partkey") % 93600 + 30).alias("departure_time"),
+            F.col("l_suppkey").cast("string").alias("stop_id"),
+            F.col("l_linenumber").alias("stop_sequence")),
+        "calendar_dates.txt": orders.select(
+            F.col("o_orderpriority").alias("service_id"), ymd.alias("date"),
+            F.lit(1).alias("exception_type")),
+        "agency.txt": region.select(
+            F.col("r_regionkey").cast("string").alias("agency_id"),
+            F.col("r_name").alias("agency_name"),
+            F.concat(F.lit("https://agency.example/"), F.col("r_regionkey").cast("string"))
+             .alias("agency_url"),
+            F.lit("Europe/Warsaw").alias("agency_timezone")),
+    }
+
+
+def roster_pages(spark: SparkSession, sf_dir: str, page_size: int = 256) -> DataFrame:
+    """Vehicle roster as API payload pages ``{results: [..]}`` of at most
+    ``page_size`` records each (cut on the customer key)."""
+    veh = vehicles_bronze(spark, sf_dir, with_key=True).drop("source_file")
+    fields = [c for c in veh.columns if c != "c_custkey"]
+    return (veh.groupBy(F.floor(F.col("c_custkey") / page_size).alias("page"))
+               .agg(F.collect_list(F.struct(*fields)).alias("results")))
