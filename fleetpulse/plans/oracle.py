@@ -361,8 +361,45 @@ UNION ALL SELECT 'bronze_vehicles', count(*), 'merged', 'vehicleCode' FROM custo
     return q
 
 
+EVOLUTION = f"""
+demo AS (
+  SELECT *,
+    ts >= TIMESTAMP '2024-01-11' AS v2_payload,
+    CASE WHEN ts >= TIMESTAMP '2024-01-21'
+         THEN ['LOW', 'MEDIUM', 'HIGH'][k % 3 + 1] END AS occupancy
+  FROM feed
+)"""
+
+
+def stream_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["bronze_ingest_stream"] = with_(FEED) + """
+SELECT "offset" AS event_id, vehicleId, delay, generated_text AS generated, "partition",
+       enqueued_ts, event_time, 'stream' AS _source
+FROM feed"""
+    q["schema_evolution"] = with_(FEED, EVOLUTION) + """
+SELECT event_id, occupancy, v2_payload AS payload_has_occupancy FROM demo"""
+    q["rescued_search"] = with_(FEED, EVOLUTION) + """
+SELECT event_id, vehicleCode, ['LOW', 'MEDIUM', 'HIGH'][k % 3 + 1] AS occupancy_text
+FROM demo WHERE v2_payload"""
+    q["evolved_rows"] = with_(FEED, EVOLUTION) + """
+SELECT event_id, vehicleCode, routeShortName, occupancy, event_time
+FROM demo WHERE occupancy IS NOT NULL"""
+    q["occupancy_counts"] = with_(FEED, EVOLUTION) + """
+SELECT occupancy, count(*) AS count FROM demo GROUP BY occupancy"""
+    q["stream_dedup"] = with_(FEED) + """
+SELECT vehicleId, generated, event_id FROM feed"""
+    q["stream_enrich"] = with_(*SILVER_ALL) + """
+SELECT "offset" AS event_id, vehicleCode, routeId, route_color, brand, transportationType,
+       delay_bucket, event_time_local
+FROM silver"""
+    q["stream_fleet_current"] = with_(*SILVER_ALL, FLEET) + "SELECT * FROM fleet"
+    return q
+
+
 def oracle_queries() -> dict[str, str]:
     q = core_sql()
     q.update(serving_sql())
     q.update(io_sql())
+    q.update(stream_sql())
     return q
