@@ -38,19 +38,40 @@ def dim_vehicles(vehicles: DataFrame) -> DataFrame:
     return out.select(*[("carrier" if c == "carrirer" else c) for c in keep])
 
 
+# (plan hash, input files, bound) -> proven small?  A proof is reused only
+# for the same plan over the same files; appended files force a new check.
+_PROOFS: dict[tuple, bool] = {}
+
+
+def is_bounded(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` provably holds at most ``max_rows`` rows.
+
+    A bounded count (``limit(max_rows + 1)``): it never reads more than
+    ``max_rows + 1`` rows per partition, whatever the table size.
+    """
+    try:
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    except Exception:  # noqa: BLE001 - e.g. local relations without files
+        key = None
+    if key is not None and key in _PROOFS:
+        return _PROOFS[key]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _PROOFS[key] = ok
+    return ok
+
+
 def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                        bound_from: DataFrame | None = None) -> DataFrame:
     """Hint a broadcast only when the side is proven to hold <= ``max_rows``.
 
-    The proof is a bounded count (``limit(max_rows + 1)``) on ``bound_from``
-    - the un-deduplicated source, whose row count bounds the dimension's -
-    so a dimension that has grown large is never shipped to every executor;
-    it then takes a shuffle join, which AQE may still turn into a broadcast
-    from runtime sizes.
+    The proof runs on ``bound_from`` - the un-deduplicated source, whose row
+    count bounds the dimension's - so a dimension that has grown large is
+    never shipped to every executor; it then takes a shuffle join, which
+    AQE may still turn into a broadcast from measured runtime sizes.
     """
     probe = bound_from if bound_from is not None else dim
-    n = probe.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    return F.broadcast(dim) if is_bounded(probe, max_rows) else dim
 
 
 def enrich_routes(silver: DataFrame, routes_dim: DataFrame) -> DataFrame:

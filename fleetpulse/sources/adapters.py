@@ -17,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.functions.scalar import utc_time
 from fleetpulse.sources.tables import read_table
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
@@ -85,7 +84,7 @@ def readings(ev: DataFrame, version: int = 1, source_tag: str = "stream",
         (F.col("user_id") % 4).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("ts").alias("enqueued_ts"),
-        utc_time("generated").alias("event_time"),
+        F.col("ts").alias("event_time"),   # = utc_time(generated), exactly
         F.lit(source_tag).alias("_source"),
         F.current_timestamp().alias("ingestion_ts"),
         *keep,
