@@ -11,7 +11,6 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from fleetpulse.functions.scalar import utc_time
 from fleetpulse.config import GTFS_SPECS, VEHICLES_SPEC, ReferenceSpec
 from fleetpulse.plans.queries import register
 from fleetpulse.schemas import EVENT_V1, GTFS_SCHEMAS
@@ -160,10 +159,7 @@ def q_load_report(spark, sf):
 def q_latest_snapshot_file(spark, sf):
     """Rows of the newest landed snapshot, newest by file modification time."""
     path = scratch_path(spark, "landing")
-    nested = EV.nest_snapshots(A.feed(spark, sf)).withColumn(
-        "snapshot", EV.snapshot_file_name(utc_time("lastUpdate")))
-    (nested.repartition("snapshot").drop("page")
-           .write.partitionBy("snapshot").json(path))
+    EV.write_snapshots(A.feed(spark, sf), path)
     _stamp_mtimes(path)
     schema = (f"lastUpdate STRING, vehicles ARRAY<STRUCT<"
               + ", ".join(f"{f.name}: {f.dataType.simpleString()}"

@@ -12,8 +12,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetpulse.config import PipelineConfig
 from fleetpulse.operators import gold
 from fleetpulse.plans.silver import build_silver
+from fleetpulse.streaming.ingest import drain, read_bronze, start_ingest
 
 # Serving table names.
 GOLD_TABLES = ("gold_period_summary", "gold_route_summary", "gold_delay_distribution",
@@ -58,3 +60,22 @@ def run_medallion(spark: SparkSession, bronze: DataFrame, routes: DataFrame,
         store.write(fn(silver), name)
     store.write(gold.live_kpi(store.read(spark, "gold_fleet_current")), "gold_live_kpi")
     return {name: store.read(spark, name).count() for name in (silver_name, *GOLD_TABLES)}
+
+
+def run_chain(spark: SparkSession, cfg: PipelineConfig, store: Store) -> dict[str, int]:
+    """Ingest -> silver -> gold, in order, in one driver program.
+
+    The ingest step drains the source into the bronze path
+    (``availableNow``) and is restartable on its checkpoint; the reference
+    tables come from the store (loaded by ``sources.reference``).
+    """
+    drain(start_ingest(spark, cfg))
+    bronze = read_bronze(spark, cfg.bronze_path)
+    return run_medallion(spark, bronze, store.read(spark, cfg.routes_table),
+                         store.read(spark, cfg.vehicles_table), store, cfg.local_tz,
+                         cfg.silver_table)
+
+
+def dashboard_dataset(spark: SparkSession, store: Store, table: str) -> DataFrame:
+    """A dashboard dataset: every column of a serving table."""
+    return store.read(spark, table).select("*")

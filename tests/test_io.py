@@ -114,3 +114,22 @@ def test_preview_sql_with_order(spark):                        # PRJ10, LIM1, SN
     rows = prev.collect()
     assert len(rows) == 20 and [r[0] for r in rows] == sorted(r[0] for r in rows)
     assert spark.table("fleet_v.bronze_vehicles").filter(F.col("vehicleCode").isNull()).count() == 0
+
+
+def test_run_chain_from_landing(spark):                        # JOB5, SRC10
+    from fleetpulse.config import PipelineConfig
+    from fleetpulse.plans.medallion import dashboard_dataset, run_chain
+    from fleetpulse.schemas import EVENT_V1
+    from fleetpulse.streaming.ingest import land
+    root = scratch_path(spark, "chain")
+    cfg = PipelineConfig(source="files", landing_path=f"{root}/landing",
+                         bronze_path=f"{root}/bronze", checkpoint_path=f"{root}/ckpt")
+    store = Store(root=f"{root}/tables")
+    store.write(A.routes_bronze(spark, SF001), cfg.routes_table)
+    store.write(A.vehicles_bronze(spark, SF001), cfg.vehicles_table)
+    land(A.feed(spark, SF001), cfg.landing_path, EVENT_V1.fieldNames())
+    counts = run_chain(spark, cfg, store)
+    batch = run_medallion(spark, A.feed(spark, SF001), A.routes_bronze(spark, SF001),
+                          A.vehicles_bronze(spark, SF001), Store(root=f"{root}/batch"))
+    assert counts == batch
+    assert dashboard_dataset(spark, store, "gold_live_kpi").count() == 1
