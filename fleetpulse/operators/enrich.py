@@ -74,20 +74,52 @@ def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROW
     return F.broadcast(dim) if is_bounded(probe, max_rows) else dim
 
 
-def enrich_routes(silver: DataFrame, routes_dim: DataFrame) -> DataFrame:
-    return (silver.join(routes_dim, silver["routeId"] == routes_dim["gtfs_route_id"], "left")
-                  .drop("gtfs_route_id"))
+def left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+              shuffled: bool) -> DataFrame:
+    """Left equi-join on one key; ``right_key`` is kept when named apart.
+
+    For a shuffle join, rows with a NULL ``left_key`` - which can never
+    match - bypass the join and get NULL right-hand columns.  Otherwise all
+    of them would hash to one reducer (one "key" may hold a third of the
+    readings).  A hot non-NULL key is split by AQE's skew-join handling.
+    """
+    same = left_key == right_key
+    if same:
+        def join(l):
+            return l.join(right, on=left_key, how="left")
+    else:
+        def join(l):
+            return l.join(right, l[left_key] == right[right_key], "left")
+    if not shuffled:
+        return join(left)
+    matched = join(left.filter(F.col(left_key).isNotNull()))
+    missing = left.filter(F.col(left_key).isNull())
+    for f in right.schema.fields:
+        if not (same and f.name == right_key):
+            missing = missing.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return matched.unionByName(missing.select(*matched.columns))
+
+
+def enrich_routes(silver: DataFrame, routes_dim: DataFrame, shuffled: bool = False) -> DataFrame:
+    return left_join(silver, routes_dim, "routeId", "gtfs_route_id", shuffled).drop("gtfs_route_id")
+
+
+def enrich_vehicles(df: DataFrame, vehicles_dim: DataFrame, shuffled: bool = False) -> DataFrame:
+    return left_join(df, vehicles_dim, "vehicleCode", "vehicleCode", shuffled)
 
 
-def enrich_vehicles(df: DataFrame, vehicles_dim: DataFrame) -> DataFrame:
-    return df.join(vehicles_dim, on="vehicleCode", how="left")
+def prepared_dim(dim: DataFrame, source: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+    """(dimension, shuffled?): broadcast when proven small, else shuffle."""
+    if is_bounded(source, max_rows):
+        return F.broadcast(dim), False
+    return dim, True
 
 
 def enrich(silver: DataFrame, routes: DataFrame, vehicles: DataFrame,
            max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Both left joins (row preserving: dims are unique on their keys) and
     the vehicle-type normalisation."""
-    r = broadcast_if_small(dim_routes(routes), max_rows, routes)
-    v = broadcast_if_small(dim_vehicles(vehicles), max_rows, vehicles)
-    out = enrich_vehicles(enrich_routes(silver, r), v)
+    r, r_shuf = prepared_dim(dim_routes(routes), routes, max_rows)
+    v, v_shuf = prepared_dim(dim_vehicles(vehicles), vehicles, max_rows)
+    out = enrich_vehicles(enrich_routes(silver, r, r_shuf), v, v_shuf)
     return out.withColumn("transportationType", normalise_type("transportationType"))

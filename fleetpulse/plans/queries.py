@@ -100,8 +100,9 @@ def q_dim_vehicles(spark, sf):
 @register("enrich_routes")
 def q_enrich_routes(spark, sf):
     routes = A.routes_bronze(spark, sf)
-    dim = enrich.broadcast_if_small(enrich.dim_routes(routes), bound_from=routes)
-    return enrich.enrich_routes(clean_box(spark, sf), dim).select(
+    dim, shuffled = enrich.prepared_dim(enrich.dim_routes(routes), routes,
+                                        enrich.DEFAULT_BROADCAST_MAX_ROWS)
+    return enrich.enrich_routes(clean_box(spark, sf), dim, shuffled).select(
         F.col("offset").alias("event_id"), "routeId", "route_type", "route_color",
         "route_text_color")
 
@@ -109,8 +110,9 @@ def q_enrich_routes(spark, sf):
 @register("enrich_vehicles")
 def q_enrich_vehicles(spark, sf):
     veh = A.vehicles_bronze(spark, sf)
-    dim = enrich.broadcast_if_small(enrich.dim_vehicles(veh), bound_from=veh)
-    return enrich.enrich_vehicles(clean_box(spark, sf), dim).select(
+    dim, shuffled = enrich.prepared_dim(enrich.dim_vehicles(veh), veh,
+                                        enrich.DEFAULT_BROADCAST_MAX_ROWS)
+    return enrich.enrich_vehicles(clean_box(spark, sf), dim, shuffled).select(
         F.col("offset").alias("event_id"), "vehicleCode", "brand", "model", "carrier")
 
 

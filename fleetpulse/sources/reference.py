@@ -80,8 +80,15 @@ def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataF
     on every load - the behaviour of a ``t.k = s.k`` merge condition.
     Duplicates inside the source are all kept, as that merge keeps them.
     """
-    cond = [source[k] == target[k] for k in keys]
-    return source.join(target.select(*keys), cond, "left_anti")
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
+    # rows with a NULL key are new by definition: keep them out of the
+    # shuffle, where they would all land on one reducer
+    keyed = source.filter(~any_null)
+    cond = [keyed[k] == target[k] for k in keys]
+    return keyed.join(target.select(*keys), cond, "left_anti").unionByName(
+        source.filter(any_null))
 
 
 def insert_only_merge(spark: SparkSession, source: DataFrame, target: str,

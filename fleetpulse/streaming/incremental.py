@@ -18,9 +18,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleetpulse.functions.scalar import utc_instant
 from fleetpulse.operators.clean import bbox_filter, derive, typed_timestamps
-from fleetpulse.operators.enrich import (broadcast_if_small, dim_routes,
-                                         dim_vehicles, enrich_routes,
-                                         enrich_vehicles)
+from fleetpulse.operators.enrich import (DEFAULT_BROADCAST_MAX_ROWS,
+                                         dim_routes, dim_vehicles,
+                                         enrich_routes, enrich_vehicles,
+                                         prepared_dim)
 from fleetpulse.functions.scalar import normalise_type
 from fleetpulse.operators.gold import FLEET_COLUMNS
 
@@ -43,9 +44,9 @@ def stream_silver(parsed: DataFrame, routes: DataFrame, vehicles: DataFrame,
                   tz: str = "Europe/Warsaw", delay: str = "10 minutes") -> DataFrame:
     deduped = stream_dedup(parsed, delay)
     cleaned = bbox_filter(derive(deduped, tz))
-    r = broadcast_if_small(dim_routes(routes), bound_from=routes)
-    v = broadcast_if_small(dim_vehicles(vehicles), bound_from=vehicles)
-    out = enrich_vehicles(enrich_routes(cleaned, r), v)
+    r, r_shuf = prepared_dim(dim_routes(routes), routes, DEFAULT_BROADCAST_MAX_ROWS)
+    v, v_shuf = prepared_dim(dim_vehicles(vehicles), vehicles, DEFAULT_BROADCAST_MAX_ROWS)
+    out = enrich_vehicles(enrich_routes(cleaned, r, r_shuf), v, v_shuf)
     return out.withColumn("transportationType", normalise_type("transportationType"))
 
 

@@ -159,3 +159,23 @@ def test_fleet_current_unique_and_latest(spark):            # WIN1
     assert f.count() == f.select("vehicleId").distinct().count()
     latest = s.groupBy("vehicleId").agg(F.max("event_time").alias("m"))
     assert f.join(latest, "vehicleId").filter(F.col("event_time") != F.col("m")).count() == 0
+
+
+def test_shuffled_enrichment_equals_broadcast(spark):       # null-key bypass
+    cleaned = clean.silver_clean(A.feed(spark, SF001))
+    routes, veh = A.routes_bronze(spark, SF001), A.vehicles_bronze(spark, SF001)
+    small = enrich.enrich(cleaned, routes, veh)
+    forced = enrich.enrich(cleaned, routes, veh, max_rows=1)   # proof fails -> shuffle path
+    assert forced.columns == small.columns
+    key = [c for c in small.columns if c != "ingestion_ts"]     # clock column
+    assert sorted(map(tuple, forced.select(key).collect())) == \
+        sorted(map(tuple, small.select(key).collect()))
+    assert cleaned.filter(F.col("routeId").isNull()).count() > 0
+
+
+def test_left_join_null_keys_bypass(spark):
+    left = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c")], "k int, v string")
+    right = spark.createDataFrame([(1, "x")], "k int, w string")
+    out = sorted(tuple(r) for r in enrich.left_join(left, right, "k", "k", shuffled=True)
+                 .fillna(-1, ["k"]).collect())
+    assert out == [(-1, "b", None), (1, "a", "x"), (2, "c", None)]
