@@ -21,6 +21,7 @@ from fleetpulse.sources.tables import read_table
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+ISO_HOUR = "yyyy-MM-dd'T'HH':00:00Z'"
 
 
 def _k() -> Column:
@@ -36,7 +37,7 @@ def feed_columns(version: int = 1) -> dict[str, Column]:
         (F.lit(541000) + ((k * 37) % 100) * 60) / F.lit(10000.0))
     lon = F.when(k == 50, F.lit(0.0)).otherwise(
         (F.lit(182000) + ((k * 53) % 100) * 90) / F.lit(10000.0))
-    hour = F.date_format(F.date_trunc("hour", "ts"), ISO_SECONDS)
+    hour = F.date_format("ts", ISO_HOUR)        # pure NTZ formatting, no zone
     cols = {
         "generated": F.date_format("ts", ISO_MICROS),
         "routeShortName": route.cast("string"),
