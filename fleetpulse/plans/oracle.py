@@ -182,6 +182,18 @@ SELECT event_id, tripId IS NOT NULL AS has_trip, delay > 120 AS is_delayed,
 FROM feed"""
     q["bbox_filter"] = with_(FEED) + f"""
 SELECT event_id, lat, lon FROM feed WHERE {BOX}"""
+    q["dedup_readings"] = with_(FEED) + """,
+feed_dup AS (
+  SELECT vehicleId, generated, "partition", "offset", 0 AS copy, enqueued_ts FROM feed
+  UNION ALL
+  SELECT vehicleId, generated, "partition", "offset", 1 AS copy,
+         enqueued_ts + INTERVAL 1 SECOND AS enqueued_ts
+  FROM feed WHERE k % 5 = 0
+)
+SELECT vehicleId, generated, "offset" AS event_id, copy, enqueued_ts
+FROM feed_dup
+QUALIFY row_number() OVER (PARTITION BY vehicleId, generated
+                           ORDER BY enqueued_ts, "partition", "offset") = 1"""
     q["silver_clean"] = with_(FEED, CLEAN) + """
 SELECT "offset" AS event_id, vehicleId, generated, lastUpdate, scheduledTripStartTime,
        delay_min, has_trip, delay_bucket, is_delayed, is_stopped, is_moving, gps_ok,

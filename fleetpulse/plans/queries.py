@@ -75,6 +75,14 @@ def q_bbox_filter(spark, sf):
         F.col("offset").alias("event_id"), "lat", "lon")
 
 
+@register("dedup_readings")
+def q_dedup_readings(spark, sf):
+    # every fifth reading is delivered twice; the first landed copy survives
+    typed = clean.typed_timestamps(A.feed_dup(spark, sf))
+    return clean.dedup_readings(typed).select(
+        "vehicleId", "generated", F.col("offset").alias("event_id"), "copy", "enqueued_ts")
+
+
 @register("silver_clean")
 def q_silver_clean(spark, sf):
     return clean_box(spark, sf).select(

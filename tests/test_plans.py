@@ -9,7 +9,7 @@ import __spark_entry__ as E
 from tests.conftest import SF001
 
 PURE_KEYS = ["typed_timestamps", "local_time", "delay_buckets", "status_flags",
-             "bbox_filter", "silver_clean", "dim_routes", "dim_vehicles", "enrich_routes",
+             "bbox_filter", "dedup_readings", "silver_clean", "dim_routes", "dim_vehicles", "enrich_routes",
              "enrich_vehicles", "type_normalise", "silver_enriched", "period_summary",
              "route_summary", "delay_distribution", "destination_summary", "fleet_current",
              "live_kpi", "dash_map_points", "dash_vehicle_table", "dash_counters",
@@ -37,6 +37,11 @@ def test_fleet_current_limits_before_shuffle(spark):
     assert "WindowGroupLimit" in p and "Partial" in p and "Final" in p
 
 
+def test_reading_dedup_limits_before_shuffle(spark):
+    p = plan(E.queries()["dedup_readings"](spark, SF001))
+    assert "WindowGroupLimit" in p and "Partial" in p and "Final" in p
+
+
 def test_enrichment_is_broadcast(spark):
     p = plan(E.queries()["silver_enriched"](spark, SF001))
     assert "BroadcastHashJoin LeftOuter" in p
