@@ -64,8 +64,10 @@ def fleet_latest(silver: DataFrame) -> DataFrame:
 def start_fleet_current(silver_stream: DataFrame, out_path: str, checkpoint: str) -> StreamingQuery:
     """Keep a current-fleet table up to date.
 
-    Complete mode re-emits the (fleet-sized) state each batch; every batch
-    atomically replaces the serving copy.
+    Complete mode re-emits the (fleet-sized) state each batch, and the
+    batch overwrites the serving copy.  The overwrite is not atomic for
+    readers, but it is idempotent: a batch cut short by a failure is run
+    again from the checkpoint on restart and writes the same rows.
     """
     def publish(batch: DataFrame, _epoch: int) -> None:
         batch.write.mode("overwrite").parquet(out_path)
