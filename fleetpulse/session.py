@@ -20,17 +20,44 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Sizing for a large cluster (inputs of ~100 TB, ~1000 executors), chosen
+# with ``build_session(profile="cluster")``:
+# * batch shuffles start at 16384 partitions and AQE coalesces them to
+#   ~256 MB each, so no reducer sorts or aggregates more than it can hold;
+#   a skewed join partition is split by the skew-join rule above;
+# * scans cut files into 256 MB splits;
+# * streams do not use AQE: their state is split into
+#   ``spark.sql.shuffle.partitions`` parts, fixed in the checkpoint at the
+#   first start, so that number stays moderate;
+# * streaming state (dedup keys within the watermark, latest position per
+#   vehicle) lives in RocksDB, off the executor heap, with changelog
+#   checkpoints so each batch uploads only its changes.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "512",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+PROFILES = {"local": {}, "cluster": CLUSTER_CONF}
+
 
 def build_session(master: str | None = None, app: str = "fleetpulse",
-                  conf: dict[str, str] | None = None) -> SparkSession:
+                  conf: dict[str, str] | None = None,
+                  profile: str = "local") -> SparkSession:
     """Create (or reuse) a session with the defaults above.
 
     ``master`` is only set when given: on a cluster the launcher decides.
+    ``profile`` adds a sizing profile (``"cluster"``: ``CLUSTER_CONF``);
+    ``conf`` overrides both.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in {**DEFAULT_CONF, **(conf or {})}.items():
+    for k, v in {**DEFAULT_CONF, **PROFILES[profile], **(conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
