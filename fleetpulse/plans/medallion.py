@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fleetpulse.config import PipelineConfig
 from fleetpulse.operators import gold
+from fleetpulse.operators.enrich import DEFAULT_BROADCAST_MAX_ROWS
 from fleetpulse.plans.silver import build_silver
 from fleetpulse.streaming.ingest import drain, read_bronze, start_ingest
 
@@ -45,9 +46,10 @@ class Store:
 
 def run_medallion(spark: SparkSession, bronze: DataFrame, routes: DataFrame,
                   vehicles: DataFrame, store: Store, tz: str = "Europe/Warsaw",
-                  silver_name: str = "gps_positions_silver") -> dict[str, int]:
+                  silver_name: str = "gps_positions_silver",
+                  broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> dict[str, int]:
     """Build silver and the gold tables; return the row count per table."""
-    store.write(build_silver(bronze, routes, vehicles, tz), silver_name)
+    store.write(build_silver(bronze, routes, vehicles, tz, broadcast_max_rows), silver_name)
     silver = store.read(spark, silver_name)
     steps = {
         "gold_period_summary": gold.period_summary,
@@ -73,7 +75,7 @@ def run_chain(spark: SparkSession, cfg: PipelineConfig, store: Store) -> dict[st
     bronze = read_bronze(spark, cfg.bronze_path)
     return run_medallion(spark, bronze, store.read(spark, cfg.routes_table),
                          store.read(spark, cfg.vehicles_table), store, cfg.local_tz,
-                         cfg.silver_table)
+                         cfg.silver_table, cfg.broadcast_max_rows)
 
 
 def dashboard_dataset(spark: SparkSession, store: Store, table: str) -> DataFrame:
