@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "c", "utc_time", "utc_instant", "local_time", "delay_min", "delay_tenths",
+    "c", "utc_time", "utc_instant", "utc_of_instant", "local_time", "delay_min", "delay_tenths",
     "delay_bucket", "is_delayed", "is_stopped", "is_moving", "has_trip",
     "gps_ok", "in_box", "normalise_type", "marker_color", "marker_popup",
     "snapshot_name", "BOX", "TYPE_NAMES",
@@ -29,25 +29,38 @@ def c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def utc_time(text) -> Column:
-    """ISO-8601 text -> UTC wall-clock ``timestamp_ntz``; bad text -> NULL.
+# UTC wall-clock ``timestamp_ntz`` values and instants (``timestamp``) share
+# one scale: microseconds since 1970-01-01 00:00 UTC.  Moving between them
+# through that count never consults the session time zone, so it is exact
+# in every zone, DST gaps and overlaps included.  It is also cheaper than
+# ``convert_timezone``, which resolves its zone names on every row, while
+# ``from_utc_timestamp`` resolves a literal zone once.
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
-    ``try_to_timestamp`` yields an instant; ``convert_timezone('UTC', ..)``
-    turns it into UTC wall time whatever the session time zone is.  One bad
-    event therefore never fails a stream.
-    """
-    return F.convert_timezone(None, F.lit("UTC"), F.try_to_timestamp(c(text)))
+
+def utc_of_instant(ts) -> Column:
+    """Instant (``timestamp``) -> UTC wall-clock ``timestamp_ntz``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c(ts)), _epoch())
 
 
 def utc_instant(utc_ntz) -> Column:
-    """UTC wall-clock ``timestamp_ntz`` -> zoned instant (``timestamp``),
-    correct under any session time zone."""
-    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), c(utc_ntz)).cast("timestamp")
+    """UTC wall-clock ``timestamp_ntz`` -> zoned instant (``timestamp``)."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), c(utc_ntz)))
+
+
+def utc_time(text) -> Column:
+    """ISO-8601 text -> UTC wall-clock ``timestamp_ntz``; bad text -> NULL.
+
+    ``try_to_timestamp`` yields the instant (honouring a ``Z`` or offset in
+    the text); one bad event therefore never fails a stream.
+    """
+    return utc_of_instant(F.try_to_timestamp(c(text)))
 
 
 def local_time(utc_ntz, tz: str = "Europe/Warsaw") -> Column:
     """UTC wall time -> local wall time (DST aware), NTZ in and out."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), c(utc_ntz))
+    return utc_of_instant(F.from_utc_timestamp(utc_instant(utc_ntz), tz))
 
 
 def delay_min(delay="delay") -> Column:

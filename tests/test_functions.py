@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType, StructField, StructType
 
@@ -72,6 +73,33 @@ def test_utc_time_bad_text_and_session_zone(spark):        # FN5
         spark.conf.set("spark.sql.session.timeZone", prev)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Warsaw", "America/New_York", "Asia/Kolkata"])
+def test_times_exact_in_dst_overlap_under_any_session_zone(spark, zone):   # FN5, FN6
+    # 00:30Z and 01:30Z on 2021-10-31 are both 02:30 on a Warsaw wall clock
+    # (the overlap hour), 01:30Z on 2021-03-28 is in the spring gap.
+    texts = ["2021-10-31T00:30:00Z", "2021-10-31T01:30:00Z", "2021-03-28T01:30:00Z",
+             "2021-03-14T07:30:00Z", "2024-01-01T10:00:00+01:00"]
+    utc = [dt.datetime(2021, 10, 31, 0, 30), dt.datetime(2021, 10, 31, 1, 30),
+           dt.datetime(2021, 3, 28, 1, 30), dt.datetime(2021, 3, 14, 7, 30),
+           dt.datetime(2024, 1, 1, 9, 0)]
+    local = [dt.datetime(2021, 10, 31, 2, 30), dt.datetime(2021, 10, 31, 2, 30),
+             dt.datetime(2021, 3, 28, 3, 30), dt.datetime(2021, 3, 14, 8, 30),
+             dt.datetime(2024, 1, 1, 10, 0)]
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, g string")
+        out = df.select("i", S.utc_time("g").alias("u")).select(
+            "i", "u", S.local_time("u").alias("l"),
+            F.unix_micros(S.utc_instant("u")).alias("m")).orderBy("i").collect()
+        assert [r.u for r in out] == utc
+        assert [r.l for r in out] == local
+        epoch = dt.datetime(1970, 1, 1)
+        assert [r.m for r in out] == [(u - epoch) // dt.timedelta(microseconds=1) for u in utc]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+
+
 def test_type_normalise(spark):                            # V11
     df = spark.createDataFrame([("Autobus",), ("Tramwaj",), ("Trolejbus",), (None,)], "t string")
     assert rows(df.select(S.normalise_type("t"))) == [("Bus",), ("Tram",), ("Trolejbus",), (None,)]
