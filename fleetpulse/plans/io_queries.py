@@ -7,6 +7,7 @@ Queries that write go to a fresh location under the shared scratch root
 from __future__ import annotations
 
 import os
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
@@ -103,6 +104,18 @@ def q_load_metadata(spark, sf):
                       & F.col("load_date").isNotNull()).alias("stamped"))
 
 
+@register("roster_preview")
+def q_roster_preview(spark, sf):
+    roster = R.add_load_metadata(A.vehicles_bronze(spark, sf).drop("source_file"),
+                                 VEHICLES_SPEC.file_name)
+    view = "roster_" + uuid.uuid4().hex[:12]
+    roster.createOrReplaceTempView(view)
+    # the load instant is checked for presence only (a clock column)
+    return R.preview(spark, view).select(
+        *[c for c in R.PREVIEW_COLUMNS if c != "ingestion_timestamp"],
+        F.col("ingestion_timestamp").isNotNull().alias("stamped"))
+
+
 @register("merge_insert_only")
 def q_merge_insert_only(spark, sf):
     target = R.PATH_PREFIX + scratch_path(spark, "customer-merge")

@@ -340,6 +340,10 @@ SELECT event_id, 'gps_' || strftime(ts, '%Y%m%d_%H%M%S') || '.json' AS file_name
 FROM feed WHERE date_trunc('hour', ts) = (SELECT max(date_trunc('hour', ts)) FROM feed)"""
     q["roster_unwrap"] = with_(VEHICLES_DIM.replace("AS carrier", "AS carrirer")) + """
 SELECT vehicleCode, transportationType, brand, model, carrirer, seats FROM vehicles_dim"""
+    q["roster_preview"] = with_(VEHICLES_DIM) + """
+SELECT vehicleCode, transportationType, brand, model, productionYear, seats,
+       standingPlaces, floorHeight, 'vehicles.json' AS source_file, true AS stamped
+FROM vehicles_dim ORDER BY vehicleCode LIMIT 20"""
     q["csv_roundtrip"] = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
     q["json_roundtrip"] = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
     q["load_metadata"] = """

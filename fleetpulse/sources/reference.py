@@ -123,6 +123,23 @@ def load_reference(spark: SparkSession, base: str, specs: Iterable[ReferenceSpec
                        keys={t: ", ".join(k) for t, _, _, k in report})
 
 
+# The columns of the roster preview.
+PREVIEW_COLUMNS = ("vehicleCode", "transportationType", "brand", "model",
+                   "productionYear", "seats", "standingPlaces", "floorHeight",
+                   "source_file", "ingestion_timestamp")
+
+
+def preview(spark: SparkSession, table: str, n: int = 20,
+            columns: Sequence[str] = PREVIEW_COLUMNS, order_by: str = "vehicleCode") -> DataFrame:
+    """First ``n`` rows of a loaded table, in key order (SQL).
+
+    ``ORDER BY .. LIMIT`` plans a per-task top-n before one small merge, so
+    the preview never moves the table.
+    """
+    return spark.sql(f"SELECT {', '.join(columns)} FROM {table} "
+                     f"ORDER BY {order_by} LIMIT {int(n)}")
+
+
 def load_report(spark: SparkSession, tables: dict[str, DataFrame],
                 actions: dict[str, str] | None = None,
                 keys: dict[str, str] | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ PURE_KEYS = ["typed_timestamps", "local_time", "delay_buckets", "status_flags",
              "route_summary", "delay_distribution", "destination_summary", "fleet_current",
              "live_kpi", "dash_map_points", "dash_vehicle_table", "dash_counters",
              "top_delayed_routes", "top_destinations", "recent_rows", "map_markers",
-             "map_legend", "bronze_parse", "publish_payload", "snapshot_name"]
+             "map_legend", "bronze_parse", "publish_payload", "snapshot_name", "roster_preview"]
 
 
 def plan(df) -> str:
@@ -54,6 +54,11 @@ def test_route_summary_avoids_expand(spark):
     assert p.count("HashAggregate") >= 4      # partial + final, twice
 
 
+def test_preview_is_a_bounded_top_n(spark):
+    p = plan(E.queries()["roster_preview"](spark, SF001))
+    assert "TakeOrderedAndProject" in p and "Exchange" not in p
+
+
 def test_scan_is_pruned(spark):
     p = plan(E.queries()["snapshot_name"](spark, SF001))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in p
