@@ -127,6 +127,22 @@ def q_merge_insert_only(spark, sf):
     return R.read_target(spark, target)
 
 
+@register("catalog_merge")
+def q_catalog_merge(spark, sf):
+    """The insert-only merge into a catalog table: the schema is created if
+    missing, the first load creates the table, the second merges into it.
+    The database lives in the shared scratch space, not the warehouse."""
+    db = "fleet_" + uuid.uuid4().hex[:12]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, 'catalog')}'")
+    table = f"{db}.bronze_customers"
+    cu = read_table(spark, sf, "customer")
+    first = R.insert_only_merge(spark, cu.filter(F.col("c_acctbal") < 5000), table, ["c_custkey"])
+    second = R.insert_only_merge(spark, cu.withColumn("c_acctbal", F.col("c_acctbal") + 1),
+                                 table, ["c_custkey"])
+    return spark.read.table(table).select(
+        "*", F.lit(first).alias("first_load"), F.lit(second).alias("second_load"))
+
+
 @register("merge_composite_key")
 def q_merge_composite_key(spark, sf):
     target = R.PATH_PREFIX + scratch_path(spark, "lineitem-merge")

@@ -355,6 +355,8 @@ WHERE c_acctbal < 5000
 UNION ALL
 SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment FROM customer
 WHERE NOT (c_acctbal < 5000)"""
+    q["catalog_merge"] = """
+SELECT *, 'created' AS first_load, 'merged' AS second_load FROM (""" + q["merge_insert_only"] + ")"
     q["merge_composite_key"] = """
 WITH li AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate
             FROM lineitem),
