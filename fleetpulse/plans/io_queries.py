@@ -184,6 +184,18 @@ def q_load_report(spark, sf):
     return R.load_reference(spark, base, specs, target)     # second load: merged, no-op
 
 
+@register("medallion_chain")
+def q_medallion_chain(spark, sf):
+    """The ordered chain (silver, then the six gold tables) written to the
+    scratch store; one row per written table with its row count."""
+    from fleetpulse.plans.medallion import GOLD_TABLES, Store, run_medallion
+    store = Store(root=scratch_path(spark, "medallion"))
+    run_medallion(spark, A.feed(spark, sf), A.routes_bronze(spark, sf),
+                  A.vehicles_bronze(spark, sf), store, silver_name="gps_positions_silver")
+    names = ("gps_positions_silver", *GOLD_TABLES)
+    return R.load_report(spark, {n: store.read(spark, n) for n in names})
+
+
 @register("latest_snapshot_file")
 def q_latest_snapshot_file(spark, sf):
     """Rows of the newest landed snapshot, newest by file modification time."""

@@ -415,9 +415,24 @@ FROM silver"""
     return q
 
 
+def chain_sql(core: dict[str, str]) -> dict[str, str]:
+    """Row counts of the tables the chain writes, from the per-table SQL."""
+    tables = {"gps_positions_silver": with_(*SILVER_ALL) + "SELECT * FROM silver",
+              "gold_period_summary": core["period_summary"],
+              "gold_route_summary": core["route_summary"],
+              "gold_delay_distribution": core["delay_distribution"],
+              "gold_destination_summary": core["destination_summary"],
+              "gold_fleet_current": core["fleet_current"],
+              "gold_live_kpi": core["live_kpi"]}
+    return {"medallion_chain": "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM ({sql})"
+        for name, sql in tables.items())}
+
+
 def oracle_queries() -> dict[str, str]:
     q = core_sql()
     q.update(serving_sql())
     q.update(io_sql())
     q.update(stream_sql())
+    q.update(chain_sql(q))
     return q
