@@ -38,24 +38,34 @@ def dim_vehicles(vehicles: DataFrame) -> DataFrame:
     return out.select(*[("carrier" if c == "carrirer" else c) for c in keep])
 
 
-# (plan hash, input files, bound) -> proven small?  A proof is reused only
+# Broadcast bounds: rows, and bytes as measured by the JSON text of each row
+# (field names included, so it over-states the in-memory row size).
+DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+
+# (plan hash, input files, bounds) -> proven small?  A proof is reused only
 # for the same plan over the same files; appended files force a new check.
 _PROOFS: dict[tuple, bool] = {}
 
 
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` provably holds at most ``max_rows`` rows.
+def is_bounded(df: DataFrame, max_rows: int,
+               max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` provably holds at most ``max_rows`` rows and about
+    ``max_bytes`` bytes.
 
-    A bounded count (``limit(max_rows + 1)``): it never reads more than
-    ``max_rows + 1`` rows per partition, whatever the table size.
+    One bounded aggregate over ``limit(max_rows + 1)``: no task reads more
+    than ``max_rows + 1`` rows, whatever the table size, and the driver
+    receives one row (count, summed row size).
     """
     try:
-        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows, max_bytes)
     except Exception:  # noqa: BLE001 - e.g. local relations without files
         key = None
     if key is not None and key in _PROOFS:
         return _PROOFS[key]
-    ok = df.limit(max_rows + 1).count() <= max_rows
+    probe = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b")).first()
+    ok = probe["n"] <= max_rows and (probe["b"] or 0) <= max_bytes
     if key is not None:
         _PROOFS[key] = ok
     return ok
@@ -63,7 +73,7 @@ def is_bounded(df: DataFrame, max_rows: int) -> bool:
 
 def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                        bound_from: DataFrame | None = None) -> DataFrame:
-    """Hint a broadcast only when the side is proven to hold <= ``max_rows``.
+    """Hint a broadcast only when the side is proven small (``is_bounded``).
 
     The proof runs on ``bound_from`` - the un-deduplicated source, whose row
     count bounds the dimension's - so a dimension that has grown large is

@@ -122,6 +122,10 @@ def test_broadcast_size_check_falls_back(spark):
     assert not enrich.is_bounded(spark.range(1000), 100)
     plan = enrich.broadcast_if_small(spark.range(1000), max_rows=100)
     assert "broadcast" not in plan._jdf.queryExecution().logical().toString().lower()
+    # few rows but wide ones: the byte bound refuses them
+    wide = spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("pad"))
+    assert enrich.is_bounded(wide, 100)
+    assert not enrich.is_bounded(wide, 100, max_bytes=5_000)
 
 
 def test_gold_empty_input_one_row(spark):                    # V15
