@@ -11,11 +11,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from fleetpulse.config import PipelineConfig
 from fleetpulse.operators import gold
 from fleetpulse.operators.enrich import DEFAULT_BROADCAST_MAX_ROWS
 from fleetpulse.plans.silver import build_silver
+from fleetpulse.schemas import EVENT_V1
 from fleetpulse.streaming.ingest import drain, read_bronze, start_ingest
 
 # Serving table names.
@@ -64,15 +66,17 @@ def run_medallion(spark: SparkSession, bronze: DataFrame, routes: DataFrame,
     return {name: store.read(spark, name).count() for name in (silver_name, *GOLD_TABLES)}
 
 
-def run_chain(spark: SparkSession, cfg: PipelineConfig, store: Store) -> dict[str, int]:
+def run_chain(spark: SparkSession, cfg: PipelineConfig, store: Store,
+              event_schema: StructType = EVENT_V1) -> dict[str, int]:
     """Ingest -> silver -> gold, in order, in one driver program.
 
     The ingest step drains the source into the bronze path
     (``availableNow``) and is restartable on its checkpoint; the reference
-    tables come from the store (loaded by ``sources.reference``).
+    tables come from the store (loaded by ``sources.reference``).  Bronze
+    is read with the schema of ``event_schema``, not by merging footers.
     """
-    drain(start_ingest(spark, cfg))
-    bronze = read_bronze(spark, cfg.bronze_path)
+    drain(start_ingest(spark, cfg, event_schema))
+    bronze = read_bronze(spark, cfg.bronze_path, event_schema)
     return run_medallion(spark, bronze, store.read(spark, cfg.routes_table),
                          store.read(spark, cfg.vehicles_table), store, cfg.local_tz,
                          cfg.silver_table, cfg.broadcast_max_rows)

@@ -42,7 +42,7 @@ def q_bronze_ingest_stream(spark, sf):
     land(A.feed(spark, sf), cfg.landing_path, V1)
     drain(start_ingest(spark, cfg, EVENT_V1))
     drain(start_ingest(spark, cfg, EVENT_V1))   # restart: nothing new, adds no rows
-    return read_bronze(spark, cfg.bronze_path).select(
+    return read_bronze(spark, cfg.bronze_path, EVENT_V1).select(
         F.col("offset").alias("event_id"), "vehicleId", "delay", "generated", "partition",
         "enqueued_ts", "event_time", "_source")
 

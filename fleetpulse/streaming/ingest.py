@@ -58,6 +58,21 @@ def drain(query: StreamingQuery, timeout_s: float = 600.0) -> None:
         raise RuntimeError(str(query.exception()))
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Batch read of a bronze path; evolved columns appear, NULL in older rows."""
+def bronze_schema(spark: SparkSession, event_schema: StructType = EVENT_V1) -> StructType:
+    """Schema of bronze rows parsed under ``event_schema`` (no data read)."""
+    empty = spark.createDataFrame([], ENVELOPE_TEXT)
+    return parse_events(empty, event_schema).schema
+
+
+def read_bronze(spark: SparkSession, path: str,
+                event_schema: StructType | None = None) -> DataFrame:
+    """Batch read of a bronze path; evolved columns appear, NULL in older rows.
+
+    With the event contract known (``event_schema``) the bronze schema is
+    given to the reader, so no file footer is read to plan the scan; files
+    written before a column was added read it as NULL.  Without it, the
+    schemas of all files are merged, which reads every footer.
+    """
+    if event_schema is not None:
+        return spark.read.schema(bronze_schema(spark, event_schema)).parquet(path)
     return spark.read.option("mergeSchema", "true").parquet(path)
