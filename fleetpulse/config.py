@@ -33,6 +33,9 @@ class PipelineConfig:
     starting_offsets: str = "earliest"
     fail_on_data_loss: bool = False
     max_offsets_per_trigger: int | None = None
+    # read at least this many Spark tasks per batch: a hot topic partition
+    # is split into several offset ranges instead of one task
+    kafka_min_partitions: int | None = None
     trigger_interval: str | None = None   # None = availableNow drain
     local_tz: str = "Europe/Warsaw"
     broadcast_max_rows: int = 2_000_000

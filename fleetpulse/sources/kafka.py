@@ -31,6 +31,8 @@ def kafka_options(cfg: PipelineConfig) -> dict[str, str]:
         opts["kafka.group.id"] = cfg.kafka_group_id
     if cfg.max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(cfg.max_offsets_per_trigger)
+    if cfg.kafka_min_partitions:
+        opts["minPartitions"] = str(cfg.kafka_min_partitions)
     return opts
 
 
@@ -42,5 +44,5 @@ def read_kafka_stream(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
 def write_kafka(payload: DataFrame, cfg: PipelineConfig) -> None:
     """Publish rows with a ``value`` column (see ``events.to_payload``)."""
     opts = {k: v for k, v in kafka_options(cfg).items()
-            if k.startswith("kafka.")}
+            if k.startswith("kafka.") and k != "kafka.group.id"}
     payload.write.format("kafka").options(**opts).option("topic", cfg.kafka_topic).save()

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -133,3 +134,20 @@ def test_run_chain_from_landing(spark):                        # JOB5, SRC10
                           A.vehicles_bronze(spark, SF001), Store(root=f"{root}/batch"))
     assert counts == batch
     assert dashboard_dataset(spark, store, "gold_live_kpi").count() == 1
+
+
+def test_kafka_options_from_config():                        # SRC1, SRC1b, JOB6
+    from fleetpulse.config import PipelineConfig
+    from fleetpulse.sources.kafka import kafka_options
+    base = dict(source="kafka", kafka_bootstrap="broker:9093", kafka_topic="vehicle-positions")
+    opts = kafka_options(PipelineConfig(**base, kafka_security_protocol="SASL_SSL",
+                                        kafka_sasl_mechanism="PLAIN"))
+    assert opts == {"kafka.bootstrap.servers": "broker:9093", "subscribe": "vehicle-positions",
+                    "startingOffsets": "earliest", "failOnDataLoss": "false",
+                    "kafka.security.protocol": "SASL_SSL", "kafka.sasl.mechanism": "PLAIN"}
+    late = kafka_options(PipelineConfig(**base, starting_offsets="latest", kafka_group_id="g1",
+                                        kafka_min_partitions=4096))
+    assert late["startingOffsets"] == "latest" and late["kafka.group.id"] == "g1"
+    assert late["minPartitions"] == "4096"
+    with pytest.raises(ValueError):
+        kafka_options(PipelineConfig(source="kafka"))
