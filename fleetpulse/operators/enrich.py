@@ -24,7 +24,9 @@ def dim_routes(routes: DataFrame) -> DataFrame:
     src = routes.select(*[c for c in ROUTE_ENRICH_COLUMNS]
                         + [c for c in ("ingestion_timestamp",) if c in routes.columns])
     src = src.withColumnRenamed("route_id", "gtfs_route_id")
-    out = dedup_first(src, ["gtfs_route_id"], _newest_first(src, "gtfs_route_id"))
+    # own_exchange: a shuffle join against the dimension can split hot keys
+    out = dedup_first(src, ["gtfs_route_id"], _newest_first(src, "gtfs_route_id"),
+                      own_exchange=True)
     return out.select("gtfs_route_id", "route_type", "route_color", "route_text_color")
 
 
@@ -34,7 +36,8 @@ def dim_vehicles(vehicles: DataFrame) -> DataFrame:
     keep = [c for c in VEHICLE_ENRICH_COLUMNS]
     src = vehicles.select(*keep, *[c for c in ("ingestion_timestamp",) if c in vehicles.columns])
     src = src.withColumnRenamed("carrirer", "carrier")
-    out = dedup_first(src, ["vehicleCode"], _newest_first(src, "vehicleCode"))
+    out = dedup_first(src, ["vehicleCode"], _newest_first(src, "vehicleCode"),
+                      own_exchange=True)
     return out.select(*[("carrier" if c == "carrirer" else c) for c in keep])
 
 

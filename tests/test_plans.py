@@ -62,3 +62,38 @@ def test_preview_is_a_bounded_top_n(spark):
 def test_scan_is_pruned(spark):
     p = plan(E.queries()["snapshot_name"](spark, SF001))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in p
+
+
+def test_shuffled_enrichment_splits_a_hot_key(spark):
+    """One vehicle holds a third of the readings and the vehicle dimension
+    is joined by shuffle: AQE must be able to split the hot partition.
+    That needs the dimension to reach the join through its own shuffle,
+    not through the partitioning of its dedup window."""
+    from pyspark.sql import functions as F
+    from fleetpulse.operators import clean, enrich
+    from fleetpulse.sources import adapters as A
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    prev = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        feed = A.feed(spark, SF001).repartition(4)       # several map tasks
+        hot = feed.withColumn("vehicleCode", F.when(F.col("offset") % 3 == 0,
+                                                    F.lit("Customer#000000015"))
+                                             .otherwise(F.col("vehicleCode")))
+        cleaned = clean.silver_clean(hot)
+        out = enrich.enrich_vehicles(cleaned, enrich.dim_vehicles(A.vehicles_bronze(spark, SF001)),
+                                     shuffled=True)
+        assert len(out.collect()) == cleaned.count()
+        assert "SortMergeJoin(skew=true)" in plan(out)   # final adaptive plan
+    finally:
+        for k, v in prev.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
