@@ -1,8 +1,11 @@
 """Value rules V1-V18 on hand-made rows."""
 
 import datetime as dt
+from zoneinfo import ZoneInfo
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType, StructField, StructType
 
@@ -128,3 +131,20 @@ def test_exact_rounded_means(spark):                       # AF4, AF5, AF7
     assert out[1][0] == -0.25 and out[1][2] == 0.0   # int mean is for sums >= 0
     assert out[2] == (0.01, 0.13, 12.5)       # 0.0125 -> 0.01 ; 0.125 -> 0.13
     assert out[3] == (None, None, None)
+
+
+_EPOCH = dt.datetime(1970, 1, 1)
+_FROM = (dt.datetime(2000, 1, 1) - _EPOCH) // dt.timedelta(microseconds=1)
+_TO = (dt.datetime(2037, 12, 31) - _EPOCH) // dt.timedelta(microseconds=1)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.integers(_FROM, _TO), min_size=1, max_size=40))
+def test_local_time_matches_zoneinfo(spark, micros):        # FN6, property
+    df = spark.createDataFrame([(m,) for m in micros], "m long")
+    out = df.select("m", S.local_time(S.utc_of_instant(F.timestamp_micros("m"))).alias("l")) \
+            .collect()
+    zone = ZoneInfo("Europe/Warsaw")
+    for r in out:
+        utc = (_EPOCH + dt.timedelta(microseconds=r.m)).replace(tzinfo=dt.timezone.utc)
+        assert r.l == utc.astimezone(zone).replace(tzinfo=None)
