@@ -94,7 +94,9 @@ def left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     For a shuffle join, rows with a NULL ``left_key`` - which can never
     match - bypass the join and get NULL right-hand columns.  Otherwise all
     of them would hash to one reducer (one "key" may hold a third of the
-    readings).  A hot non-NULL key is split by AQE's skew-join handling.
+    readings).  A hot non-NULL key is split by AQE's skew-join handling,
+    which works because the dimensions reach the join through their own
+    shuffle (``dedup_first(.., own_exchange=True)``).
     """
     same = left_key == right_key
     if same:
