@@ -97,3 +97,23 @@ def test_shuffled_enrichment_splits_a_hot_key(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_gold_reads_of_silver_are_pushed_down_and_pruned(spark):
+    from fleetpulse.operators import gold
+    from fleetpulse.plans.medallion import Store
+    from fleetpulse.plans.silver import build_silver
+    from fleetpulse.session import scratch_path
+    from fleetpulse.sources import adapters as A
+    store = Store(root=scratch_path(spark, "pushdown"))
+    store.write(build_silver(A.feed(spark, SF001), A.routes_bronze(spark, SF001),
+                             A.vehicles_bronze(spark, SF001)), "silver")
+    silver = store.read(spark, "silver")
+    assert len(silver.columns) == 50
+    route = plan(gold.route_summary(silver))
+    assert "PushedFilters: [IsNotNull(routeId)]" in route
+    dest = plan(gold.destination_summary(silver))
+    assert "EqualTo(has_trip,true)" in dest and "IsNotNull(headsign)" in dest
+    for p in (route, dest, plan(gold.delay_distribution(silver))):
+        schema = next(l for l in p.splitlines() if l.startswith("ReadSchema"))
+        assert schema.count(":") <= 10          # a handful of the 50 columns
