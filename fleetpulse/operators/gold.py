@@ -42,9 +42,55 @@ def _vehicles_where(flag: str):
     return F.count(F.when(F.col(flag) == 1, F.col("vehicleId")))
 
 
+# How each per-vehicle partial combines with another one for the same
+# (group keys, vehicle): every partial is a sum or a maximum, so partials
+# of disjoint batches of readings merge exactly.
+PARTIAL_MERGE = {"_rows": F.sum, "_s_delay": F.sum, "_n_delay": F.sum,
+                 "_max_delay": F.max, "_s_speed": F.sum, "_n_speed": F.sum,
+                 "_t_delayed": F.sum, "_n_delayed": F.sum,
+                 "_any_delayed": F.max, "_any_stopped": F.max}
+
+# Gold table -> (group keys, silver filter, delay over trips only).
+PARTIAL_SPECS = {
+    "period_summary": ([], None, True),
+    "route_summary": (["routeId", "routeShortName", "transportationType"],
+                      "routeId IS NOT NULL", True),
+    "destination_summary": (["routeShortName", "headsign", "transportationType"],
+                            "has_trip AND headsign IS NOT NULL", False),
+}
+
+
+def vehicle_partials(silver: DataFrame, table: str) -> DataFrame:
+    """Per-(group, vehicle) partials of one gold table over ``silver``."""
+    keys, cond, trip_only = PARTIAL_SPECS[table]
+    src = silver if cond is None else silver.filter(cond)
+    return _per_vehicle(src, keys, trip_only_delay=trip_only)
+
+
+def merge_partials(old: DataFrame, new: DataFrame, table: str) -> DataFrame:
+    """Partials of two disjoint batches of readings -> partials of both.
+
+    The result is one row per (group, vehicle); its size follows the fleet
+    and the groups, not the number of readings.
+    """
+    keys = PARTIAL_SPECS[table][0]
+    both = old.unionByName(new.select(*old.columns))
+    return both.groupBy(*keys, "vehicleId").agg(
+        *[fn(c).alias(c) for c, fn in PARTIAL_MERGE.items()])
+
+
+def gold_from_partials(pv: DataFrame, table: str) -> DataFrame:
+    return {"period_summary": period_from_partials,
+            "route_summary": route_from_partials,
+            "destination_summary": destination_from_partials}[table](pv)
+
+
 def period_summary(silver: DataFrame) -> DataFrame:
     """Whole-period KPIs; one row even on empty input."""
-    pv = _per_vehicle(silver, [], trip_only_delay=True)
+    return period_from_partials(vehicle_partials(silver, "period_summary"))
+
+
+def period_from_partials(pv: DataFrame) -> DataFrame:
     return pv.agg(
         F.count("vehicleId").alias("total_vehicles"),
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("total_readings"),
@@ -56,8 +102,11 @@ def period_summary(silver: DataFrame) -> DataFrame:
 
 
 def route_summary(silver: DataFrame) -> DataFrame:
-    keys = ["routeId", "routeShortName", "transportationType"]
-    pv = _per_vehicle(silver.filter(F.col("routeId").isNotNull()), keys, trip_only_delay=True)
+    return route_from_partials(vehicle_partials(silver, "route_summary"))
+
+
+def route_from_partials(pv: DataFrame) -> DataFrame:
+    keys = PARTIAL_SPECS["route_summary"][0]
     return pv.groupBy(*keys).agg(
         F.count("vehicleId").alias("active_vehicles"),
         round_mean_tenths_2dp(F.sum("_s_delay"), F.sum("_n_delay")).alias("avg_delay_min"),
@@ -79,9 +128,11 @@ def delay_distribution(silver: DataFrame) -> DataFrame:
 
 
 def destination_summary(silver: DataFrame) -> DataFrame:
-    keys = ["routeShortName", "headsign", "transportationType"]
-    src = silver.filter(F.col("has_trip") & F.col("headsign").isNotNull())
-    pv = _per_vehicle(src, keys, trip_only_delay=False)
+    return destination_from_partials(vehicle_partials(silver, "destination_summary"))
+
+
+def destination_from_partials(pv: DataFrame) -> DataFrame:
+    keys = PARTIAL_SPECS["destination_summary"][0]
     return pv.groupBy(*keys).agg(
         F.count("vehicleId").alias("active_vehicles"),
         round_mean_tenths_2dp(F.sum("_s_delay"), F.sum("_n_delay")).alias("avg_delay_min"),

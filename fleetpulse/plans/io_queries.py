@@ -196,6 +196,21 @@ def q_medallion_chain(spark, sf):
     return R.load_report(spark, {n: store.read(spark, n) for n in names})
 
 
+@register("route_summary_incremental")
+def q_route_summary_incremental(spark, sf):
+    """Route summary refreshed in two runs over disjoint halves of the
+    month's readings (before / from the 16th); equals the one-shot summary."""
+    from fleetpulse.plans.medallion import Store, refresh_gold
+    from fleetpulse.plans.queries import silver
+    store = Store(root=scratch_path(spark, "incremental"))
+    s = silver(spark, sf)
+    early = F.coalesce(F.col("event_time") < F.lit("2024-01-16").cast("timestamp_ntz"),
+                       F.lit(False))
+    refresh_gold(spark, s.filter(early), store, ("route_summary",))
+    refresh_gold(spark, s.filter(~early), store, ("route_summary",))
+    return store.read(spark, "gold_route_summary")
+
+
 @register("latest_snapshot_file")
 def q_latest_snapshot_file(spark, sf):
     """Rows of the newest landed snapshot, newest by file modification time."""

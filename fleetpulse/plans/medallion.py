@@ -18,6 +18,7 @@ from fleetpulse.operators import gold
 from fleetpulse.operators.enrich import DEFAULT_BROADCAST_MAX_ROWS
 from fleetpulse.plans.silver import build_silver
 from fleetpulse.schemas import EVENT_V1
+from fleetpulse.session import shared_dir
 from fleetpulse.streaming.ingest import drain, read_bronze, start_ingest
 
 # Serving table names.
@@ -40,6 +41,15 @@ class Store:
             (df.write.mode("overwrite").option("overwriteSchema", "true")
                .saveAsTable(f"{self.database}.{name}" if self.database else name))
 
+    def exists(self, spark: SparkSession, name: str) -> bool:
+        if not self.root:
+            return spark.catalog.tableExists(f"{self.database}.{name}" if self.database else name)
+        try:
+            self.read(spark, name).limit(0).collect()
+            return True
+        except Exception:  # noqa: BLE001 - a missing path raises an analysis error
+            return False
+
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         if self.root:
             return spark.read.parquet(f"{self.root.rstrip('/')}/{name}")
@@ -66,6 +76,29 @@ def run_medallion(spark: SparkSession, bronze: DataFrame, routes: DataFrame,
     return {name: store.read(spark, name).count() for name in (silver_name, *GOLD_TABLES)}
 
 
+def refresh_gold(spark: SparkSession, new_silver: DataFrame, store: Store,
+                 tables: tuple[str, ...] = tuple(gold.PARTIAL_SPECS)) -> None:
+    """Fold a batch of new silver rows into the gold summaries.
+
+    Each summary keeps a partial table, one row per (group, vehicle) of
+    mergeable sums and maxima.  A refresh aggregates only the new rows,
+    merges them into the partials and re-derives the summary from the
+    partials, so its cost follows the batch and the fleet, not the whole
+    silver history.  Batches must be disjoint (each reading folded once).
+    The merged partials are checkpointed (``spark.checkpoint.dir``) before
+    they replace the table they were read from; if a refresh fails midway,
+    ``gold.vehicle_partials`` over the whole silver table rebuilds them.
+    """
+    shared_dir(spark)                      # checkpoint dir: cluster's or own
+    for table in tables:
+        name = f"{table}_partials"
+        fresh = gold.vehicle_partials(new_silver, table)
+        if store.exists(spark, name):
+            fresh = gold.merge_partials(store.read(spark, name), fresh, table).checkpoint()
+        store.write(fresh, name)
+        store.write(gold.gold_from_partials(store.read(spark, name), table), f"gold_{table}")
+
+
 def run_chain(spark: SparkSession, cfg: PipelineConfig, store: Store,
               event_schema: StructType = EVENT_V1) -> dict[str, int]:
     """Ingest -> silver -> gold, in order, in one driver program.

@@ -435,4 +435,5 @@ def oracle_queries() -> dict[str, str]:
     q.update(io_sql())
     q.update(stream_sql())
     q.update(chain_sql(q))
+    q["route_summary_incremental"] = q["route_summary"]
     return q
