@@ -57,6 +57,8 @@ PARTIAL_SPECS = {
                       "routeId IS NOT NULL", True),
     "destination_summary": (["routeShortName", "headsign", "transportationType"],
                             "has_trip AND headsign IS NOT NULL", False),
+    # rows only (no delay or speed measures)
+    "delay_distribution": (["delay_bucket", "transportationType"], "has_trip", None),
 }
 
 
@@ -64,6 +66,8 @@ def vehicle_partials(silver: DataFrame, table: str) -> DataFrame:
     """Per-(group, vehicle) partials of one gold table over ``silver``."""
     keys, cond, trip_only = PARTIAL_SPECS[table]
     src = silver if cond is None else silver.filter(cond)
+    if trip_only is None:
+        return src.groupBy(*keys, "vehicleId").agg(F.count(F.lit(1)).alias("_rows"))
     return _per_vehicle(src, keys, trip_only_delay=trip_only)
 
 
@@ -76,13 +80,14 @@ def merge_partials(old: DataFrame, new: DataFrame, table: str) -> DataFrame:
     keys = PARTIAL_SPECS[table][0]
     both = old.unionByName(new.select(*old.columns))
     return both.groupBy(*keys, "vehicleId").agg(
-        *[fn(c).alias(c) for c, fn in PARTIAL_MERGE.items()])
+        *[fn(c).alias(c) for c, fn in PARTIAL_MERGE.items() if c in old.columns])
 
 
 def gold_from_partials(pv: DataFrame, table: str) -> DataFrame:
     return {"period_summary": period_from_partials,
             "route_summary": route_from_partials,
-            "destination_summary": destination_from_partials}[table](pv)
+            "destination_summary": destination_from_partials,
+            "delay_distribution": delay_from_partials}[table](pv)
 
 
 def period_summary(silver: DataFrame) -> DataFrame:
@@ -118,9 +123,11 @@ def route_from_partials(pv: DataFrame) -> DataFrame:
 
 
 def delay_distribution(silver: DataFrame) -> DataFrame:
-    keys = ["delay_bucket", "transportationType"]
-    pv = (silver.filter(F.col("has_trip"))
-                .groupBy(*keys, "vehicleId").agg(F.count(F.lit(1)).alias("_rows")))
+    return delay_from_partials(vehicle_partials(silver, "delay_distribution"))
+
+
+def delay_from_partials(pv: DataFrame) -> DataFrame:
+    keys = PARTIAL_SPECS["delay_distribution"][0]
     return pv.groupBy(*keys).agg(
         F.sum("_rows").alias("records_count"),
         F.count("vehicleId").alias("vehicles_count"),
