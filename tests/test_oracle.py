@@ -8,7 +8,8 @@ from fleetpulse.sources.tables import TABLES, table_path
 from scripts.oracle_check import digest
 from tests.conftest import SF001
 
-KEYS = sorted(E.queries())
+# the training-data queries have tests of their own
+KEYS = sorted(set(E.queries()) - set(E.LLM_QUERIES))
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +21,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(KEYS) <= set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
