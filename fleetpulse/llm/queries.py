@@ -7,15 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetpulse.llm.bpe import op4_byte_bpe
+from fleetpulse.llm.decontaminate import op5_decontamination
 from fleetpulse.llm.language_id import op1_language_id
 from fleetpulse.llm.licenses import op3_licenses
 from fleetpulse.llm.near_dedup import op6_near_dedup
 from fleetpulse.llm.pii import op2_pii
+from fleetpulse.llm.ppm import op7_ppm
 from fleetpulse.llm.secrets import op10_secrets
 from fleetpulse.llm.simhash import op9_simhash
+from fleetpulse.llm.toxicity import op8_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_language_id, op2_pii, op3_licenses, op4_byte_bpe, op6_near_dedup, op9_simhash, op10_secrets,
+    op1_language_id, op2_pii, op3_licenses, op4_byte_bpe, op5_decontamination, op6_near_dedup, op7_ppm,
+    op8_toxicity, op9_simhash, op10_secrets,
 )}
 
 # DuckDB SQL for the queries that SQL can express over whole tables
