@@ -26,7 +26,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import documents, small_batches
+from fleetpulse.llm.common import documents, python_tasks
 from fleetpulse.llm.words import chunks, raw_texts
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -203,14 +203,14 @@ def digests(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document with the public 50k byte vocabulary."""
-    small_batches(spark)
+    python_tasks(spark)
     return digests(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's last stage: ids of every document that is left, checked
     by decoding them to the text again."""
-    small_batches(spark)
+    python_tasks(spark)
     path = public_tokenizers.path(VOCABULARY)
     kind = docs.schema["doc_id"].dataType.simpleString()
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,10 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch, unless the session already does."""
+def python_tasks(spark: SparkSession) -> None:
+    """Prepare the session for operators that run Python in their tasks: bound
+    the rows of an Arrow batch, unless the session already does, and let
+    workers that share the driver's files find this package (elsewhere it is
+    installed or shipped with the application)."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    root = str(Path(__file__).parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{known}:{root}".strip(":")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

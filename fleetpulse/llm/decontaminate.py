@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import documents, id_key, small_batches, stored, table, text_hash
+from fleetpulse.llm.common import documents, id_key, python_tasks, stored, table, text_hash
 from fleetpulse.llm.words import ALNUM, Words, chunks, list_column, longs, minima, mix, multipliers, raw_texts
 
 SAMPLES = 64
@@ -210,7 +210,7 @@ def contained(docs: DataFrame, items: DataFrame, item_id: str = "item_id", least
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (``doc_id``, ``item_id``) with the benchmark item in the document."""
-    small_batches(spark)
+    python_tasks(spark)
     docs = documents(spark, sf_dir)
     items = table(spark, sf_dir, "benchmark").select("item_id", "text")
     rows = docs.select("doc_id", id_key().alias("__id"), text_hash().alias("__th"))
@@ -220,7 +220,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: documents that contain no benchmark item."""
-    small_batches(spark)
+    python_tasks(spark)
     items = table(spark, sf_dir, "benchmark").select("item_id", "text")
     leaks = stored(contained(docs, items).select("__id", "__th").distinct(), "leaks")
     rows = docs.withColumns({"__id": id_key(), "__th": text_hash()})

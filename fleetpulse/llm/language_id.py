@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import fold, small_batches, table
+from fleetpulse.llm.common import fold, python_tasks, table
 from fleetpulse.llm.words import LOWER, chunks, raw_texts
 
 BUCKETS = 1 << 14          # hashed n-gram features (fixed size of the model)
@@ -204,7 +204,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from the folds that aren't held out."""
-    small_batches(spark)
+    python_tasks(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = fit(docs.filter(fold("doc_id", 5) != 0))
     return predict(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"),

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import documents, id_key, small_batches, stored, text_hash
+from fleetpulse.llm.common import documents, id_key, python_tasks, stored, text_hash
 from fleetpulse.llm.components import components
 from fleetpulse.llm.words import NOT_SPACE, Words, chunks, list_column, longs, minima, mix, multipliers, raw_texts
 
@@ -183,7 +183,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = SIMILARITY)
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents over two-word shingles at 0.8."""
-    small_batches(spark)
+    python_tasks(spark)
     docs = documents(spark, sf_dir)
     found = near_duplicates(docs, k=2)
     rows = docs.select("doc_id", id_key().alias("__id"), text_hash().alias("__th"))
@@ -197,7 +197,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: one document of each component (five-word
     shingles, similarity 0.8), the one with the least id; documents without
     words all stay, and rows repeated in full stay once."""
-    small_batches(spark)
+    python_tasks(spark)
     found = near_duplicates(docs, k=5)
     keep = (found.filter((F.col("n") == 0) | (F.col("__id") == F.col("first.id")) & (F.col("__th") == F.col("first.th")))
             .select("__id", "__th", "n"))
