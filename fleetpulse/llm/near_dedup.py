@@ -6,8 +6,8 @@
    two bitmaps shows how many samples differ.
 2. Texts with equal sets are one class; only one row of each class goes on.
 3. Classes that share a band are candidates.  Inside a band each class is
-   paired with the least one only, never all with all.  Sizes and sketches
-   reject most pairs, the full sets confirm the rest.
+   paired with one hub only, never all with all.  Sizes and sketches reject
+   most pairs, the full sets confirm the rest.
 4. Pairs in one component need no further test.  Where a band still holds
    several components, the classes of different components are paired,
    sketched and confirmed as well, so no link between components is lost.
@@ -39,8 +39,8 @@ BANDS, ROWS = 40, 6
 SKETCH_BITS = 512
 SIMILARITY = 0.8
 # Sampling error of MinHash at the threshold: a sketch rejects only pairs that
-# look at least this much less similar (over five standard deviations).
-MARGIN = 0.2
+# look at least this much less similar (4.5 standard deviations).
+MARGIN = 0.15
 
 
 def sketch_limit(similarity: float) -> int:
@@ -146,8 +146,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = SIMILARITY)
                                              F.any_value("sketch").alias("sketch")), "classes")
     slots = classes.select("cls", F.explode("bands").alias("band"))
     # bands with one class pair nothing; the rest are few
-    shared = slots.groupBy("band").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).filter("least <> most")
-    members = stored(slots.join(shared.select("band", "least"), "band"), "members")
+    shared = slots.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
+    members = stored(slots.join(shared, "band"), "members")
+    # an original stands in the same bands as most of its copies, which differ
+    # more from each other than from it: the most popular class is the hub
+    popular = members.groupBy("cls").agg(F.sum("size").alias("popular"))
+    hubs = (members.join(popular, "cls").groupBy("band")
+            .agg(F.max(F.struct("popular", "cls"))["cls"].alias("hub")))
+    stars = members.join(hubs, "band").filter("cls <> hub").select(
+        F.greatest("cls", "hub").alias("x"), F.least("cls", "hub").alias("y")).distinct()
     light = classes.select("cls", "n", "sketch")
     needed = members.select("cls").distinct()
     picked = classes.join(needed, "cls").select("cls", F.col("first.id").alias("__id"), F.col("first.th").alias("__th"))
@@ -159,17 +166,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = SIMILARITY)
                   .join(light.alias("b"), (F.col("b.cls") == F.col("y")) & F.expr(_similar(similarity))))
         return confirmed(joined.select(F.col("x").alias("a"), F.col("y").alias("b")), sets, similarity)
 
-    stars = members.filter("cls <> least").select(F.col("cls").alias("x"), F.col("least").alias("y")).distinct()
     links = stored(tested(stars), "stars")
     found = components(links)
     # bands that still hold several components
     placed = (members.join(found.withColumnRenamed("node", "cls"), "cls", "left")
               .select("band", "cls", F.coalesce("root", "cls").alias("root")))
     open_bands = placed.groupBy("band").agg(F.min("root").alias("p"), F.max("root").alias("q")).filter("p <> q")
-    rest = stored(placed.join(open_bands.select("band"), "band").join(light, "cls"), "open")
-    across = (rest.alias("a").join(rest.alias("b"), (F.col("a.band") == F.col("b.band")) & F.expr("a.cls < b.cls")
-                                   & F.expr("a.root <> b.root") & F.expr(_similar(similarity)))
-              .select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct())
+    rest = stored(placed.join(open_bands.select("band"), "band")
+                  .join(classes.select("cls", "n", "sketch", "bands"), "cls"), "open")
+    # a pair comes from the first of its common bands only
+    once = "array_min(array_intersect(a.bands, b.bands)) = a.band"
+    across = (rest.alias("a").join(rest.alias("b"), F.expr(
+        f"a.band = b.band AND a.cls < b.cls AND a.root <> b.root AND {_similar(similarity)} AND {once}"))
+              .select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")))
     more = stored(confirmed(across, sets, similarity), "across")
     found = components(links.union(more)) if not more.isEmpty() else found
     named = (classes.select("cls", "first").join(found.withColumnRenamed("node", "cls"), "cls", "left")
