@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from fleetpulse.schemas import GTFS_SCHEMAS
+
 
 @dataclass(frozen=True)
 class PipelineConfig:
@@ -52,19 +54,19 @@ class ReferenceSpec:
     table: str
     keys: tuple[str, ...]
     fmt: str = "csv"
-    schema: str | None = None          # DDL; None = infer
+    schema: str | None = None          # DDL of known columns; None = infer
     options: dict[str, str] = field(default_factory=dict)
 
 
 # The public transit feed files loaded by the reference job,
 # their target tables and merge keys.
 GTFS_SPECS = (
-    ReferenceSpec("routes.txt", "bronze_gtfs_routes", ("route_id",)),
-    ReferenceSpec("stops.txt", "bronze_gtfs_stops", ("stop_id",)),
-    ReferenceSpec("trips.txt", "bronze_gtfs_trips", ("trip_id",)),
-    ReferenceSpec("stop_times.txt", "bronze_gtfs_stop_times", ("trip_id", "stop_sequence")),
-    ReferenceSpec("calendar_dates.txt", "bronze_gtfs_calendar_dates", ("service_id", "date")),
-    ReferenceSpec("agency.txt", "bronze_gtfs_agency", ("agency_id",)),
+    ReferenceSpec("routes.txt", "bronze_gtfs_routes", ("route_id",), schema=GTFS_SCHEMAS["routes.txt"]),
+    ReferenceSpec("stops.txt", "bronze_gtfs_stops", ("stop_id",), schema=GTFS_SCHEMAS["stops.txt"]),
+    ReferenceSpec("trips.txt", "bronze_gtfs_trips", ("trip_id",), schema=GTFS_SCHEMAS["trips.txt"]),
+    ReferenceSpec("stop_times.txt", "bronze_gtfs_stop_times", ("trip_id", "stop_sequence"), schema=GTFS_SCHEMAS["stop_times.txt"]),
+    ReferenceSpec("calendar_dates.txt", "bronze_gtfs_calendar_dates", ("service_id", "date"), schema=GTFS_SCHEMAS["calendar_dates.txt"]),
+    ReferenceSpec("agency.txt", "bronze_gtfs_agency", ("agency_id",), schema=GTFS_SCHEMAS["agency.txt"]),
 )
 VEHICLES_SPEC = ReferenceSpec("vehicles.json", "bronze_vehicles", ("vehicleCode",), fmt="json",
                               options={"multiLine": "false"})

@@ -27,7 +27,9 @@ def round_mean_tenths_2dp(s: Column, n: Column) -> Column:
     """
     n_ = F.nullif(n.cast("long"), F.lit(0))
     s_ = s.cast("long")
-    return F.signum(s_) * idiv(F.abs(s_) * 20 + n_, n_ * 2) / F.lit(100.0)
+    # an integer sign: a small negative mean rounds to 0.0, never to -0.0
+    sign = F.when(s_ < 0, F.lit(-1)).otherwise(F.lit(1))
+    return sign * idiv(F.abs(s_) * 20 + n_, n_ * 2) / F.lit(100.0)
 
 
 def round_mean_int_2dp(s: Column, n: Column) -> Column:

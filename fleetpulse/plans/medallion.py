@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fleetpulse.config import PipelineConfig
@@ -19,7 +20,8 @@ from fleetpulse.operators.enrich import DEFAULT_BROADCAST_MAX_ROWS
 from fleetpulse.plans.silver import build_silver
 from fleetpulse.schemas import EVENT_V1
 from fleetpulse.session import shared_dir
-from fleetpulse.streaming.ingest import drain, read_bronze, start_ingest
+from fleetpulse.sources.tables import path_exists
+from fleetpulse.streaming.ingest import read_bronze, settle, start_ingest
 
 # Serving table names.
 GOLD_TABLES = ("gold_period_summary", "gold_route_summary", "gold_delay_distribution",
@@ -44,11 +46,7 @@ class Store:
     def exists(self, spark: SparkSession, name: str) -> bool:
         if not self.root:
             return spark.catalog.tableExists(f"{self.database}.{name}" if self.database else name)
-        try:
-            self.read(spark, name).limit(0).collect()
-            return True
-        except Exception:  # noqa: BLE001 - a missing path raises an analysis error
-            return False
+        return path_exists(spark, f"{self.root.rstrip('/')}/{name}")
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         if self.root:
@@ -76,7 +74,7 @@ def run_medallion(spark: SparkSession, bronze: DataFrame, routes: DataFrame,
     return {name: store.read(spark, name).count() for name in (silver_name, *GOLD_TABLES)}
 
 
-def refresh_gold(spark: SparkSession, new_silver: DataFrame, store: Store,
+def refresh_gold(spark: SparkSession, new_silver: DataFrame, store: Store, batch_id: int,
                  tables: tuple[str, ...] = tuple(gold.PARTIAL_SPECS)) -> None:
     """Fold a batch of new silver rows into the gold summaries.
 
@@ -84,7 +82,9 @@ def refresh_gold(spark: SparkSession, new_silver: DataFrame, store: Store,
     mergeable sums and maxima.  A refresh aggregates only the new rows,
     merges them into the partials and re-derives the summary from the
     partials, so its cost follows the batch and the fleet, not the whole
-    silver history.  Batches must be disjoint (each reading folded once).
+    silver history.  Batches must be disjoint and their ids must grow; the
+    last batch may be folded again (a retry after a failure) and then
+    replaces what it gave before.  Earlier batches are kept merged.
     The merged partials are checkpointed (``spark.checkpoint.dir``) before
     they replace the table they were read from; if a refresh fails midway,
     ``gold.vehicle_partials`` over the whole silver table rebuilds them.
@@ -92,11 +92,19 @@ def refresh_gold(spark: SparkSession, new_silver: DataFrame, store: Store,
     shared_dir(spark)                      # checkpoint dir: cluster's or own
     for table in tables:
         name = f"{table}_partials"
-        fresh = gold.vehicle_partials(new_silver, table)
+        fresh = gold.vehicle_partials(new_silver, table).withColumn("batch_id", F.lit(batch_id).cast("long"))
         if store.exists(spark, name):
-            fresh = gold.merge_partials(store.read(spark, name), fresh, table).checkpoint()
+            known = store.read(spark, name)
+            if known.filter(F.col("batch_id") > batch_id).limit(1).count():
+                raise ValueError(f"batch {batch_id} comes after a later one")
+            before = known.filter(F.col("batch_id") < batch_id).drop("batch_id")
+            before = gold.merge_partials(before, before.limit(0), table)
+            fresh = (before.withColumn("batch_id", F.lit(batch_id - 1).cast("long"))
+                     .unionByName(fresh.select(*before.columns, "batch_id")).checkpoint())
         store.write(fresh, name)
-        store.write(gold.gold_from_partials(store.read(spark, name), table), f"gold_{table}")
+        parts = store.read(spark, name).drop("batch_id")
+        store.write(gold.gold_from_partials(gold.merge_partials(parts, parts.limit(0), table), table),
+                    f"gold_{table}")
 
 
 def run_chain(spark: SparkSession, cfg: PipelineConfig, store: Store,
@@ -108,7 +116,7 @@ def run_chain(spark: SparkSession, cfg: PipelineConfig, store: Store,
     tables come from the store (loaded by ``sources.reference``).  Bronze
     is read with the schema of ``event_schema``, not by merging footers.
     """
-    drain(start_ingest(spark, cfg, event_schema))
+    settle(start_ingest(spark, cfg, event_schema), cfg)
     bronze = read_bronze(spark, cfg.bronze_path, event_schema)
     return run_medallion(spark, bronze, store.read(spark, cfg.routes_table),
                          store.read(spark, cfg.vehicles_table), store, cfg.local_tz,

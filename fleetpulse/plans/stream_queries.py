@@ -92,42 +92,34 @@ def q_occupancy_counts(spark, sf):
     return evolution_demo(spark, sf).groupBy("occupancy").count()
 
 
-def _dup_stream(spark, sf, name):
-    """Land originals, then re-deliveries; return (cfg, parsed stream)."""
+def _silver_stream(spark, sf, name, enrich=True):
+    """Land the newer half first, then the older half, then re-deliveries;
+    drain after each; return the silver table."""
     cfg = _cfg(spark, name)
     dup = A.feed_dup(spark, sf)
-    land(dup.filter(F.col("copy") == 0), cfg.landing_path, V1)
-    land(dup.filter(F.col("copy") == 1), cfg.landing_path, V1)
-    return cfg, parse_events(read_source(spark, cfg), EVENT_V1, cfg.source_tag)
+    late = F.coalesce(F.col("event_time") >= F.lit("2024-01-16").cast("timestamp_ntz"), F.lit(False))
+    dims = (A.routes_bronze(spark, sf), A.vehicles_bronze(spark, sf)) if enrich else (None, None)
+    first = F.col("copy") == 0
+    for part in (first & late, first & ~late, ~first):
+        land(dup.filter(part), cfg.landing_path, V1)
+        parsed = parse_events(read_source(spark, cfg), EVENT_V1, cfg.source_tag)
+        drain(INC.start_silver(parsed, cfg.bronze_path, cfg.checkpoint_path, *dims))
+    return spark.read.parquet(cfg.bronze_path)
 
 
 @register("stream_dedup")
 def q_stream_dedup(spark, sf):
-    cfg, parsed = _dup_stream(spark, sf, "stream-dedup")
-    q = (INC.stream_dedup(parsed).writeStream.format("parquet")
-         .option("path", cfg.bronze_path).option("checkpointLocation", cfg.checkpoint_path)
-         .trigger(availableNow=True).start())
-    drain(q)
-    return spark.read.parquet(cfg.bronze_path).select(
+    return _silver_stream(spark, sf, "stream-dedup", enrich=False).select(
         "vehicleId", "generated", F.col("offset").alias("event_id"))
 
 
 @register("stream_enrich")
 def q_stream_enrich(spark, sf):
-    cfg, parsed = _dup_stream(spark, sf, "stream-enrich")
-    silver = INC.stream_silver(parsed, A.routes_bronze(spark, sf), A.vehicles_bronze(spark, sf))
-    q = (silver.writeStream.format("parquet")
-         .option("path", cfg.bronze_path).option("checkpointLocation", cfg.checkpoint_path)
-         .trigger(availableNow=True).start())
-    drain(q)
-    return spark.read.parquet(cfg.bronze_path).select(
+    return _silver_stream(spark, sf, "stream-enrich").select(
         F.col("offset").alias("event_id"), "vehicleCode", "routeId", "route_color",
         "brand", "transportationType", "delay_bucket", "event_time_local")
 
 
 @register("stream_fleet_current")
 def q_stream_fleet_current(spark, sf):
-    cfg, parsed = _dup_stream(spark, sf, "stream-fleet")
-    silver = INC.stream_silver(parsed, A.routes_bronze(spark, sf), A.vehicles_bronze(spark, sf))
-    drain(INC.start_fleet_current(silver, cfg.bronze_path, cfg.checkpoint_path))
-    return spark.read.parquet(cfg.bronze_path)
+    return INC.fleet_latest(_silver_stream(spark, sf, "stream-fleet"))

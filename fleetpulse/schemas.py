@@ -56,6 +56,7 @@ VEHICLE_ENRICH_COLUMNS = (
     "wheelchairsRamp", "ticketMachine", "usb",
 )
 
+# Route file columns kept for enrichment.
 ROUTE_ENRICH_COLUMNS = ("route_id", "route_type", "route_color", "route_text_color")
 
 # Explicit reference-file schemas: identifiers and colours stay text so

@@ -10,24 +10,33 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fleetpulse.config import ReferenceSpec
+from fleetpulse.sources.tables import path_exists
 
 PATH_PREFIX = "path:"
 
 
 def read_reference(spark: SparkSession, location: str, spec: ReferenceSpec) -> DataFrame:
-    """Read one reference file.  With ``spec.schema`` the types are fixed
-    (no inference pass, ids keep leading zeros); without it they are
-    inferred as the source job did."""
+    """Read one reference file.
+
+    CSV columns go by their names in the header, in any order: those that
+    ``spec.schema`` names get its types (NULL where a file lacks them or a
+    value does not fit), all others stay as text, so ids and colours keep
+    their leading zeros.  Only a spec without any schema, which none of the
+    shipped ones is, has its types inferred.
+    """
     reader = spark.read.options(**spec.options)
+    if spec.fmt == "csv":
+        raw = reader.option("header", "true").option("inferSchema", not spec.schema).csv(location)
+        known = {f.name: f.dataType for f in StructType.fromDDL(spec.schema)} if spec.schema else {}
+        typed = [F.col(f"`{c}`").try_cast(known[c]).alias(c) if c in known else F.col(f"`{c}`")
+                 for c in raw.columns]
+        lacking = [F.lit(None).cast(t).alias(c) for c, t in known.items() if c not in raw.columns]
+        return raw.select(*typed, *lacking)
     if spec.schema:
         reader = reader.schema(spec.schema)
-    if spec.fmt == "csv":
-        reader = reader.option("header", "true")
-        if not spec.schema:
-            reader = reader.option("inferSchema", "true")
-        return reader.csv(location)
     if spec.fmt == "json":
         return reader.json(location)
     return reader.format(spec.fmt).load(location)
@@ -53,11 +62,7 @@ def _path(target: str) -> str:
 def target_exists(spark: SparkSession, target: str) -> bool:
     if not _is_path(target):
         return spark.catalog.tableExists(target)
-    try:
-        spark.read.parquet(_path(target)).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - a missing path raises an analysis error
-        return False
+    return path_exists(spark, _path(target))
 
 
 def read_target(spark: SparkSession, target: str) -> DataFrame:
@@ -100,7 +105,7 @@ def insert_only_merge(spark: SparkSession, source: DataFrame, target: str,
     scales with both sides; appends never rewrite existing files.
     """
     if not target_exists(spark, target):
-        _write(source, target, "errorifexists" if not _is_path(target) else "overwrite")
+        _write(source, target, "errorifexists")
         return "created"
     existing = read_target(spark, target)
     fresh = new_rows(source, existing, keys)

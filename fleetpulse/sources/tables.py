@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
@@ -13,6 +14,18 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet path can be read; only its absence counts as missing,
+    any other failure (rights, network, damaged files) is raised."""
+    try:
+        spark.read.parquet(path).limit(0).collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 _SCHEMAS: dict[str, object] = {}
 
 

@@ -1,13 +1,17 @@
 """Incremental (streaming) twins of the batch silver and gold steps.
 
-Each equals its batch twin on the same input:
-
-* ``stream_dedup``       - dedup within an event-time watermark (state is
-                           bounded by the watermark, survives restarts)
-* ``stream_silver``      - stream-static left joins to the dimensions
-* ``stream_fleet_current`` - latest reading per vehicle as a keyed
-                           aggregate (``max_by`` over a total order), state
-                           bounded by the fleet size
+Each equals its batch twin on the same input, in whatever order and in however
+many batches it arrives:
+
+* ``start_silver``  - every micro-batch is deduplicated, compared with the
+                      silver rows of the event dates it touches, enriched
+                      and written to a folder of its own
+* ``fleet_latest``  - latest reading per vehicle as a keyed aggregate
+                      (``max_by`` over a total order)
+
+Late readings are kept, as the batch rebuild keeps them: there is no watermark
+and no state besides the silver files.  A batch that is run again after a
+failure compares itself with the other batches only and replaces its folder.
 """
 
 from __future__ import annotations
@@ -16,38 +20,56 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetpulse.functions.scalar import utc_instant
-from fleetpulse.operators.clean import bbox_filter, derive, typed_timestamps
+from fleetpulse.operators.clean import bbox_filter, dedup_readings, derive, typed_timestamps
 from fleetpulse.operators.enrich import (DEFAULT_BROADCAST_MAX_ROWS,
                                          dim_routes, dim_vehicles,
                                          enrich_routes, enrich_vehicles,
                                          prepared_dim)
 from fleetpulse.functions.scalar import normalise_type
 from fleetpulse.operators.gold import FLEET_COLUMNS
+from fleetpulse.sources.tables import path_exists
 
-WATERMARK_COL = "_event_ts"
+BATCH, DAY = "batch_id", "event_date"
 
 
-def stream_dedup(parsed: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Typed readings, one per (vehicleId, generated) within the watermark.
+def new_readings(batch: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """The batch's readings, one per (vehicleId, generated), that no other
+    batch under ``path`` has.
 
-    The watermark needs a zoned timestamp, so the UTC wall time is turned
-    into an instant in a helper column.
+    Only silver partitions of the days between the batch's first and last are
+    read (and readings without a valid time, which share one partition).
     """
-    typed = typed_timestamps(parsed).withColumn(WATERMARK_COL, utc_instant("generated"))
-    return (typed.withWatermark(WATERMARK_COL, delay)
-                 .dropDuplicatesWithinWatermark(["vehicleId", "generated"])
-                 .drop(WATERMARK_COL))
-
-
-def stream_silver(parsed: DataFrame, routes: DataFrame, vehicles: DataFrame,
-                  tz: str = "Europe/Warsaw", delay: str = "10 minutes") -> DataFrame:
-    deduped = stream_dedup(parsed, delay)
-    cleaned = bbox_filter(derive(deduped, tz))
-    r, r_shuf = prepared_dim(dim_routes(routes), routes, DEFAULT_BROADCAST_MAX_ROWS)
-    v, v_shuf = prepared_dim(dim_vehicles(vehicles), vehicles, DEFAULT_BROADCAST_MAX_ROWS)
-    out = enrich_vehicles(enrich_routes(cleaned, r, r_shuf), v, v_shuf)
-    return out.withColumn("transportationType", normalise_type("transportationType"))
+    spark = batch.sparkSession
+    fresh = dedup_readings(typed_timestamps(batch)).withColumn(DAY, F.to_date("event_time"))
+    if not path_exists(spark, path):
+        return fresh
+    span = fresh.agg(F.min(DAY).alias("a"), F.max(DAY).alias("z")).first()
+    days = F.col(DAY).isNull()
+    if span.a is not None:
+        days = days | F.col(DAY).between(F.lit(span.a), F.lit(span.z))
+    known = (spark.read.parquet(path).filter((F.col(BATCH) != batch_id) & days)
+             .select(F.col("vehicleId").alias("_v"), F.col("generated").alias("_g"), F.col(DAY).alias("_d")))
+    same = (F.col("vehicleId").eqNullSafe(F.col("_v")) & F.col("generated").eqNullSafe(F.col("_g"))
+            & F.col(DAY).eqNullSafe(F.col("_d")))
+    return fresh.join(known, same, "left_anti")
+
+
+def start_silver(parsed: DataFrame, path: str, checkpoint: str, routes: DataFrame | None = None,
+                 vehicles: DataFrame | None = None, tz: str = "Europe/Warsaw",
+                 broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> StreamingQuery:
+    """Drain a parsed stream into silver under ``path``, by batch and event
+    date.  Without dimensions the rows are deduplicated only."""
+    def append(batch: DataFrame, batch_id: int) -> None:
+        out = new_readings(batch, path, batch_id)
+        if routes is not None and vehicles is not None:
+            r, r_shuf = prepared_dim(dim_routes(routes), routes, broadcast_max_rows)
+            v, v_shuf = prepared_dim(dim_vehicles(vehicles), vehicles, broadcast_max_rows)
+            out = enrich_vehicles(enrich_routes(bbox_filter(derive(out, tz)), r, r_shuf), v, v_shuf)
+            out = out.withColumn("transportationType", normalise_type("transportationType"))
+        out.write.mode("overwrite").partitionBy(DAY).parquet(f"{path}/{BATCH}={batch_id}")
+
+    return (parsed.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
 
 def fleet_latest(silver: DataFrame) -> DataFrame:
@@ -59,22 +81,3 @@ def fleet_latest(silver: DataFrame) -> DataFrame:
                   .agg(F.max_by(payload, order).alias("_latest"))
                   .select("vehicleId", "_latest.*")
                   .select(*FLEET_COLUMNS))
-
-
-def start_fleet_current(silver_stream: DataFrame, out_path: str, checkpoint: str) -> StreamingQuery:
-    """Keep a current-fleet table up to date.
-
-    Complete mode re-emits the (fleet-sized) state each batch, and the
-    batch overwrites the serving copy.  The overwrite is not atomic for
-    readers, but it is idempotent: a batch cut short by a failure is run
-    again from the checkpoint on restart and writes the same rows.
-    """
-    def publish(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
-
-    return (fleet_latest(silver_stream).writeStream
-            .outputMode("complete")
-            .option("checkpointLocation", checkpoint)
-            .foreachBatch(publish)
-            .trigger(availableNow=True)
-            .start())

@@ -48,9 +48,10 @@ def start_ingest(spark: SparkSession, cfg: PipelineConfig,
     return writer.start()
 
 
-def drain(query: StreamingQuery, timeout_s: float = 600.0) -> None:
-    """Wait for an availableNow run to finish (or stop a continuous one)."""
-    finished = query.awaitTermination(timeout_s)
+def drain(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for an availableNow run to finish, however long its backlog takes;
+    with ``timeout_s``, stop it then and raise."""
+    finished = query.awaitTermination(timeout_s) if timeout_s else (query.awaitTermination() or True)
     if not finished:
         query.stop()
         raise TimeoutError(f"stream {query.id} did not finish within {timeout_s}s")
@@ -58,6 +59,17 @@ def drain(query: StreamingQuery, timeout_s: float = 600.0) -> None:
         raise RuntimeError(str(query.exception()))
 
 
+def settle(query: StreamingQuery, cfg: PipelineConfig) -> None:
+    """Let an ingest run take in all that is there now: a drained one ends by
+    itself, one with a processing-time trigger is stopped afterwards."""
+    if not cfg.trigger_interval:
+        return drain(query)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def bronze_schema(spark: SparkSession, event_schema: StructType = EVENT_V1) -> StructType:
     """Schema of bronze rows parsed under ``event_schema`` (no data read)."""
     empty = spark.createDataFrame([], ENVELOPE_TEXT)

@@ -161,10 +161,42 @@ def test_incremental_gold_equals_batch(spark):                  # JOB4 at scale
                           A.vehicles_bronze(spark, SF001))
     store = Store(root=scratch_path(spark, "incremental-test"))
     day = F.dayofmonth("event_time")
-    for lo, hi in ((1, 10), (11, 20), (21, 31)):            # three disjoint runs
-        refresh_gold(spark, silver.filter(day.between(lo, hi)), store)
+    # three disjoint runs, the second and the last one repeated
+    for n, lo, hi in ((0, 1, 10), (1, 11, 20), (1, 11, 20), (2, 21, 31), (2, 21, 31)):
+        refresh_gold(spark, silver.filter(day.between(lo, hi)), store, n)
     for table in gold.PARTIAL_SPECS:
         want = getattr(gold, table)(silver)
         got = store.read(spark, f"gold_{table}").select(*want.columns)
         rows = lambda df: sorted(map(tuple, df.collect()), key=repr)  # noqa: E731 - NULLs sort too
         assert rows(got) == rows(want), table
+
+
+def test_unreadable_target_is_not_missing(spark, tmp_path):
+    """A merge raises on a damaged target and leaves its files alone."""
+    from fleetpulse.sources import reference as R
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string").coalesce(1)
+    assert R.insert_only_merge(spark, rows, f"{R.PATH_PREFIX}{path}", ["k"]) == "created"
+    part = next((tmp_path / "t").glob("part-*"))
+    part.write_bytes(part.read_bytes()[:20])
+    with pytest.raises(Exception):
+        R.insert_only_merge(spark, rows.limit(1), f"{R.PATH_PREFIX}{path}", ["k"])
+    assert [p.stat().st_size for p in (tmp_path / "t").glob("part-*")] == [20]
+
+
+def test_csv_goes_by_header(spark, tmp_path):
+    """Extra and reordered columns: names decide, unknown ones stay text."""
+    from fleetpulse.config import GTFS_SPECS
+    from fleetpulse.sources.reference import read_reference
+    file = tmp_path / "routes.txt"
+    file.write_text("route_color,route_desc,route_id,route_type,route_url\n001122,x,7,3,007\n")
+    row = read_reference(spark, str(file), GTFS_SPECS[0]).first()
+    assert (row.route_id, row.route_type, row.route_color, row.route_desc, row.route_url) == (7, 3, "001122", "x", "007")
+    assert row.agency_id is None and row.route_text_color is None
+
+
+def test_small_negative_mean_is_plain_zero(spark):
+    from fleetpulse.functions.aggregates import round_mean_tenths_2dp
+    x = spark.sql("SELECT -1L s, 1000L n UNION ALL SELECT -15L, 10L").select(
+        round_mean_tenths_2dp(F.col("s"), F.col("n")).alias("m")).collect()
+    assert [str(r.m) for r in x] == ["0.0", "-0.15"]
