@@ -9,8 +9,12 @@
    paired with one hub only, never all with all.  Sizes and sketches reject
    most pairs, the full sets confirm the rest.
 4. Pairs in one component need no further test.  Where a band still holds
-   several components, the classes of different components are paired,
-   sketched and confirmed as well, so no link between components is lost.
+   several components, the classes of different components are candidates as
+   well, so no link between components is lost.  Under a hub with few classes
+   they are paired, sketched and confirmed.  Under a hub with many, a class is
+   described by its difference from the hub: two linked classes, of which at
+   least one isn't linked with the hub, must share so much of their differences
+   that the rarest parts of these already meet.
 
 With 40 bands of 6 rows a pair of similarity 0.8 misses all bands with a
 probability of 5e-6.
@@ -28,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import documents, id_key, python_tasks, stored, text_hash
@@ -38,6 +42,8 @@ from fleetpulse.llm.words import NOT_SPACE, Words, chunks, list_column, longs, m
 BANDS, ROWS = 40, 6
 SKETCH_BITS = 512
 SIMILARITY = 0.8
+# Up to so many classes under one hub are paired directly, more by differences.
+FEW = 64
 # Sampling error of MinHash at the threshold: a sketch rejects only pairs that
 # look at least this much less similar (4.5 standard deviations).
 MARGIN = 0.15
@@ -133,6 +139,45 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.filter(f"100 * both >= {ratio} * (size(x) + size(y) - both)").select("a", "b")
 
 
+def by_differences(placed: DataFrame, sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Candidates among the classes of a hub, from ``placed`` (``hub``, ``cls``,
+    ``root``, distinct): the classes linked with their hub, and the pairs
+    (both ``a``, ``b``) of different roots that may be linked.
+
+    With sizes n and h of class and hub and d elements in which they differ,
+    they are linked if P*d <= Q*(n + h), where P = 100 + ratio and Q = 100 -
+    ratio.  A pair is linked if P*(d1 + d2 - 2*common) <= Q*(n1 + n2), common
+    being what its two differences share.  If the other class is far from the
+    hub (not linked), then 2*P*common > P*d + Q*(h - n) >= 0; for a far class
+    and any other, 2*P*common >= P*d - Q*(n + h) > 0.  So with elements in one
+    order, rarest first, the first common one lies among the first d - least
+    common + 1 of both, and what follows it bounds all that is common.
+    """
+    ratio = round(similarity * 100)
+    p, q = 100 + ratio, 100 - ratio
+    sized = (placed.join(sets.withColumnRenamed("shingles", "x"), "cls")
+             .join(sets.withColumnsRenamed({"cls": "hub", "shingles": "y"}), "hub")
+             .withColumn("delta", F.concat(F.array_except("x", "y"), F.array_except("y", "x")))
+             .withColumns({"n": F.size("x").cast("long"), "h": F.size("y").cast("long"),
+                           "d": F.size("delta").cast("long")})
+             .withColumn("far", F.expr(f"{p} * d > {q} * (n + h)")).drop("x", "y"))
+    sized = stored(sized, "differences")
+    parts = sized.select("hub", "cls", "root", "n", "h", "d", "far", F.explode("delta").alias("part"))
+    rarity = parts.groupBy("hub", "part").agg(F.count("*").alias("df"))
+    reach = F.when(F.col("far"), F.expr(f"d - ceil(({p} * d - {q} * (n + h)) / {2 * p}) + 1")).otherwise(
+        F.expr(f"d - floor(({p} * d + {q} * (h - n)) / {2 * p})"))
+    ranked = parts.join(rarity, ["hub", "part"]).withColumn(
+        "at", F.row_number().over(Window.partitionBy("hub", "cls").orderBy("df", "part")))
+    # a part of one class only meets nothing
+    first = stored(ranked.filter((F.col("at") <= reach) & (F.col("df") > 1)).drop("h", "df"), "rarest")
+    common = "1 + least(a.d - a.at, b.d - b.at)"
+    pairs = first.alias("a").join(first.alias("b"), F.expr(
+        "a.hub = b.hub AND a.part = b.part AND a.far AND a.root <> b.root AND (NOT b.far OR a.cls < b.cls)"
+        f" AND {2 * p} * ({common}) >= {p} * (a.d + b.d) - {q} * (a.n + b.n)"))
+    return (sized.filter("NOT far AND cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b")),
+            pairs.select(F.greatest("a.cls", "b.cls").alias("a"), F.least("a.cls", "b.cls").alias("b")))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = SIMILARITY) -> DataFrame:
     """One row for each distinct (id, text): (``__id``, ``__th``, ``n``,
     ``component``, ``first``), where ``first`` is the struct of the component's
@@ -169,17 +214,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = SIMILARITY)
     links = stored(tested(stars), "stars")
     found = components(links)
     # bands that still hold several components
-    placed = (members.join(found.withColumnRenamed("node", "cls"), "cls", "left")
-              .select("band", "cls", F.coalesce("root", "cls").alias("root")))
+    placed = (members.join(found.withColumnRenamed("node", "cls"), "cls", "left").join(hubs, "band")
+              .select("band", "hub", "cls", F.coalesce("root", "cls").alias("root")))
     open_bands = placed.groupBy("band").agg(F.min("root").alias("p"), F.max("root").alias("q")).filter("p <> q")
-    rest = stored(placed.join(open_bands.select("band"), "band")
-                  .join(classes.select("cls", "n", "sketch", "bands"), "cls"), "open")
+    rest = stored(placed.join(open_bands.select("band"), "band"), "open")
+    stars_of = rest.select("hub", "cls", "root").distinct()
+    many = stars_of.groupBy("hub").agg(F.count("*").alias("size")).filter(F.col("size") > FEW).select("hub")
+    linked, far = by_differences(stars_of.join(many, "hub"), sets, similarity)
+    few = stored(rest.join(many, "hub", "left_anti").join(classes.select("cls", "n", "sketch", "bands"), "cls"), "few")
     # a pair comes from the first of its common bands only
     once = "array_min(array_intersect(a.bands, b.bands)) = a.band"
-    across = (rest.alias("a").join(rest.alias("b"), F.expr(
+    across = (few.alias("a").join(few.alias("b"), F.expr(
         f"a.band = b.band AND a.cls < b.cls AND a.root <> b.root AND {_similar(similarity)} AND {once}"))
-              .select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")))
-    more = stored(confirmed(across, sets, similarity), "across")
+              .select(F.col("b.cls").alias("a"), F.col("a.cls").alias("b")))
+    more = stored(confirmed(across.union(far).distinct(), sets, similarity).union(linked), "across")
     found = components(links.union(more)) if not more.isEmpty() else found
     named = (classes.select("cls", "first").join(found.withColumnRenamed("node", "cls"), "cls", "left")
              .select("cls", "first", F.coalesce("root", "cls").alias("component")))

@@ -3,6 +3,7 @@ table plus rows with nulls, empty, repeated, tied and very long texts."""
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -210,6 +211,53 @@ def test_near_dedup(spark, sf, rows):
     assert Counter(map(tuple, near_dedup.op6_near_dedup(spark, sf).collect())) == want
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_dedup_of_one_large_group(spark, seed):
+    """Many edits of one text at either side of the threshold, some of them
+    edited again: more classes under one hub than are paired directly."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(90)]
+
+    def edited(text, n):
+        out = list(text)
+        for _ in range(n):
+            out[rng.randrange(len(out))] = f"x{rng.randrange(400)}"
+        return out
+
+    texts = [edited(base, rng.randrange(1, 9)) for _ in range(220)]
+    texts += [edited(t, rng.randrange(1, 4)) for t in texts[:60]]
+    sets = [shingles(t, 2) for t in texts]
+    at = list(range(len(texts)))
+
+    def root(i):
+        while at[i] != i:
+            i = at[i]
+        return i
+
+    links = set()
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if 100 * both >= 80 * (len(a) + len(sets[j]) - both):
+                links.add((i, j))
+                x, y = sorted((root(i), root(j)))
+                at[y] = x
+    assert 50 < len(links) and len({root(i) for i in at}) > 3
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = near_dedup.near_duplicates(docs, k=2).select("__id", F.col("first.id").alias("least")).collect()
+    assert {r["__id"]: r.least for r in got} == {i: root(i) for i in range(len(texts))}
+
+    # the part for large groups alone finds every link beyond the hub's own
+    placed = spark.createDataFrame([(0, i, i) for i in range(len(texts))], "hub long, cls long, root long")
+    parts = spark.createDataFrame([(i, sorted(hash(x) for x in s)) for i, s in enumerate(sets)],
+                                  "cls long, shingles array<long>")
+    linked, pairs = near_dedup.by_differences(placed, parts, 0.8)
+    near = {r.a for r in linked.collect()} | {0}
+    assert near == {0} | {i for i, j in links if j == 0}
+    found = {(r.a, r.b) for r in pairs.collect()}
+    assert {(i, j) for i, j in links if not {i, j} <= near} <= found
+
+
 def test_ppm(spark, sf, rows):
     fold = lambda i: 0 if i is None else zlib.crc32(str(i).encode()) % 5
     counts = Counter()
