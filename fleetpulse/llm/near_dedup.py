@@ -12,7 +12,8 @@
    several components, the classes of different components are candidates as
    well, so no link between components is lost.  Under a hub with few classes
    they are paired, sketched and confirmed.  Under a hub with many, a class is
-   described by its difference from the hub: two linked classes, of which at
+   described by its difference from the hub (the most popular hub that the
+   band's hub shares a band with, or itself): two linked classes, of which at
    least one isn't linked with the hub, must share so much of their differences
    that the rarest parts of these already meet.
 
@@ -196,8 +197,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = SIMILARITY)
     # an original stands in the same bands as most of its copies, which differ
     # more from each other than from it: the most popular class is the hub
     popular = members.groupBy("cls").agg(F.sum("size").alias("popular"))
-    hubs = (members.join(popular, "cls").groupBy("band")
-            .agg(F.max(F.struct("popular", "cls"))["cls"].alias("hub")))
+    hubs = stored(members.join(popular, "cls").groupBy("band").agg(F.max(F.struct("popular", "cls")).alias("top"))
+                  .select("band", "top.popular", F.col("top.cls").alias("hub")), "hubs")
     stars = members.join(hubs, "band").filter("cls <> hub").select(
         F.greatest("cls", "hub").alias("x"), F.least("cls", "hub").alias("y")).distinct()
     light = classes.select("cls", "n", "sketch")
@@ -213,9 +214,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = SIMILARITY)
 
     links = stored(tested(stars), "stars")
     found = components(links)
+    # a hub's own leader is the most popular hub it shares a band with; bands
+    # of one leader are compared together, so few classes come under many
+    leaders = (members.join(hubs, "band").groupBy("cls")
+               .agg(F.max(F.struct("popular", "hub"))["hub"].alias("leader")).withColumnRenamed("cls", "hub"))
+    led = hubs.join(leaders, "hub").select("band", "leader")
     # bands that still hold several components
-    placed = (members.join(found.withColumnRenamed("node", "cls"), "cls", "left").join(hubs, "band")
-              .select("band", "hub", "cls", F.coalesce("root", "cls").alias("root")))
+    placed = (members.join(found.withColumnRenamed("node", "cls"), "cls", "left").join(led, "band")
+              .select("band", F.col("leader").alias("hub"), "cls", F.coalesce("root", "cls").alias("root")))
     open_bands = placed.groupBy("band").agg(F.min("root").alias("p"), F.max("root").alias("q")).filter("p <> q")
     rest = stored(placed.join(open_bands.select("band"), "band"), "open")
     stars_of = rest.select("hub", "cls", "root").distinct()
