@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import struct
 from collections.abc import Iterator
+from contextlib import contextmanager
 from hashlib import sha256
 
 import numpy as np
@@ -100,6 +101,10 @@ class Codec:
         self.piece_text = [str(r) for r in self.piece_rank]
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_proto(ranks))
         self.pattern = regex.compile(pattern)
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the cache."""
         self.ids: dict[str, str] = {}
         self.data: dict[str, bytes] = {}
         self.older: tuple[dict[str, str], dict[str, bytes]] = ({}, {})
@@ -149,11 +154,17 @@ class Codec:
 _codecs: dict[tuple[str, str], Codec] = {}
 
 
-def codec(path: str, pattern: str) -> Codec:
-    """One codec a worker process."""
+@contextmanager
+def codec(path: str, pattern: str) -> Iterator[Codec]:
+    """The worker's codec, for one task.  The model stays for the next one; the
+    pre-tokens go, as the worker may run other stages from then on."""
     if (path, pattern) not in _codecs:
         _codecs[path, pattern] = Codec(path, pattern)
-    return _codecs[path, pattern]
+    held = _codecs[path, pattern]
+    try:
+        yield held
+    finally:
+        held.forget()
 
 
 def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -161,11 +172,11 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path, pattern)
-        for batch in batches:
-            ids = [np.fromstring(i, np.int32, sep=" ") for i, _ in c.coded(raw_texts(batch.column("text")))]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"),
-                                              "ids": pa.array(ids, pa.list_(pa.int32()))})
+        with codec(path, pattern) as c:
+            for batch in batches:
+                ids = [np.fromstring(i, np.int32, sep=" ") for i, _ in c.coded(raw_texts(batch.column("text")))]
+                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"),
+                                                  "ids": pa.array(ids, pa.list_(pa.int32()))})
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
@@ -175,11 +186,11 @@ def decode(encoded: DataFrame, path: str, pattern: str = public_tokenizers.PATTE
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path, pattern)
-        for batch in batches:
-            data = [c.decode(i or []) for i in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"),
-                                              "data": pa.array(data, pa.binary())})
+        with codec(path, pattern) as c:
+            for batch in batches:
+                data = [c.decode(i or []) for i in batch.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"),
+                                                  "data": pa.array(data, pa.binary())})
 
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, data binary")
 
@@ -189,13 +200,13 @@ def digests(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path, pattern)
-        for batch in batches:
-            rows = c.digest(raw_texts(batch.column("text")))
-            n, ids, data = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "n_tokens": pa.array(n, pa.int64()),
-                "ids_sha256": pa.array(ids, pa.string()), "decoded_sha256": pa.array(data, pa.string())})
+        with codec(path, pattern) as c:
+            for batch in batches:
+                rows = c.digest(raw_texts(batch.column("text")))
+                n, ids, data = zip(*rows) if rows else ((), (), ())
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": batch.column("doc_id"), "n_tokens": pa.array(n, pa.int64()),
+                    "ids_sha256": pa.array(ids, pa.string()), "decoded_sha256": pa.array(data, pa.string())})
 
     return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
@@ -215,15 +226,15 @@ def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path, public_tokenizers.PATTERN)
-        for batch in batches:
-            texts = raw_texts(batch.column("text"))
-            made = list(c.coded(texts))
-            ids = [np.fromstring(i, np.int32, sep=" ") for i, _ in made]
-            whole = [data == t for (_, data), t in zip(made, texts)]
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "n_tokens": pa.array([len(i) for i in ids], pa.int64()),
-                "ids": pa.array(ids, pa.list_(pa.int32())), "round_trip": pa.array(whole)})
+        with codec(path, public_tokenizers.PATTERN) as c:
+            for batch in batches:
+                texts = raw_texts(batch.column("text"))
+                made = list(c.coded(texts))
+                ids = [np.fromstring(i, np.int32, sep=" ") for i, _ in made]
+                whole = [data == t for (_, data), t in zip(made, texts)]
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": batch.column("doc_id"), "n_tokens": pa.array([len(i) for i in ids], pa.int64()),
+                    "ids": pa.array(ids, pa.list_(pa.int32())), "round_trip": pa.array(whole)})
 
     return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, n_tokens long, ids array<int>, round_trip boolean")
