@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from fleetpulse.operators.enrich import DEFAULT_BROADCAST_MAX_ROWS
 from fleetpulse.schemas import GTFS_SCHEMAS
 
 
@@ -40,7 +41,7 @@ class PipelineConfig:
     kafka_min_partitions: int | None = None
     trigger_interval: str | None = None   # None = availableNow drain
     local_tz: str = "Europe/Warsaw"
-    broadcast_max_rows: int = 2_000_000
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}" if self.database else name

@@ -55,9 +55,8 @@ def is_bounded(df: DataFrame, max_rows: int,
     """True when ``df`` provably holds at most ``max_rows`` rows and about
     ``max_bytes`` bytes.
 
-    One bounded aggregate over ``limit(max_rows + 1)``: no task reads more
-    than ``max_rows + 1`` rows, whatever the table size, and the driver
-    receives one row (count, summed row size).
+    A plain aggregate: each task sends one row (count, summed row size), so
+    no rows are gathered in one place to learn that a table is too big.
     """
     try:
         key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows, max_bytes)
@@ -65,7 +64,7 @@ def is_bounded(df: DataFrame, max_rows: int,
         key = None
     if key is not None and key in _PROOFS:
         return _PROOFS[key]
-    probe = df.limit(max_rows + 1).agg(
+    probe = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b")).first()
     ok = probe["n"] <= max_rows and (probe["b"] or 0) <= max_bytes
@@ -74,19 +73,6 @@ def is_bounded(df: DataFrame, max_rows: int,
     return ok
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                       bound_from: DataFrame | None = None) -> DataFrame:
-    """Hint a broadcast only when the side is proven small (``is_bounded``).
-
-    The proof runs on ``bound_from`` - the un-deduplicated source, whose row
-    count bounds the dimension's - so a dimension that has grown large is
-    never shipped to every executor; it then takes a shuffle join, which
-    AQE may still turn into a broadcast from measured runtime sizes.
-    """
-    probe = bound_from if bound_from is not None else dim
-    return F.broadcast(dim) if is_bounded(probe, max_rows) else dim
-
-
 def left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
               shuffled: bool) -> DataFrame:
     """Left equi-join on one key; ``right_key`` is kept when named apart.
@@ -124,7 +110,12 @@ def enrich_vehicles(df: DataFrame, vehicles_dim: DataFrame, shuffled: bool = Fal
 
 
 def prepared_dim(dim: DataFrame, source: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """(dimension, shuffled?): broadcast when proven small, else shuffle."""
+    """(dimension, shuffled?): broadcast when proven small, else shuffle.
+
+    The proof runs on the un-deduplicated source, whose size bounds the
+    dimension's; AQE may still turn the shuffle join into a broadcast from
+    measured sizes.
+    """
     if is_bounded(source, max_rows):
         return F.broadcast(dim), False
     return dim, True

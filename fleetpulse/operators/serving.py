@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.functions.scalar import marker_color, marker_popup
-from fleetpulse.operators.gold import live_kpi_measures
 
 # Columns shown by the dashboard's map and vehicle widgets.
 MAP_POINT_COLUMNS = ("delay_bucket", "lat", "lon", "routeShortName",
@@ -25,20 +24,18 @@ def dash_vehicle_table(fleet: DataFrame) -> DataFrame:
                  .orderBy(F.col("delay_min").desc_nulls_last(), F.col("vehicleId").asc_nulls_last()))
 
 
-def dash_counters(fleet: DataFrame) -> DataFrame:
-    """All counter widgets in one pass over the current fleet.
-
-    The KPI table has exactly one row, so SUM over it is the KPI measure
-    itself and COUNT(*) over it is 1; both are read off the same scan.
-    """
-    kpi = live_kpi_measures()
-    return fleet.agg(
+def dash_counters(fleet: DataFrame, kpi: DataFrame) -> DataFrame:
+    """All counter widgets: newest time and rows of the current fleet, rows and
+    sums of the KPI table.  Each side is one row; both are merged into one."""
+    sides = fleet.agg(
         F.max("event_time_local").alias("last_update_local"),
         F.count(F.lit(1)).alias("fleet_rows"),
-        F.lit(1).cast("long").alias("kpi_rows"),
-        *[kpi[n].alias(n) for n in ("active_vehicles", "stopped_vehicles",
-                                    "delayed_vehicles", "avg_delay_min")],
-    )
+    ).unionByName(kpi.agg(
+        F.count(F.lit(1)).alias("kpi_rows"),
+        *[F.sum(n).alias(n) for n in ("active_vehicles", "stopped_vehicles",
+                                      "delayed_vehicles", "avg_delay_min")],
+    ), allowMissingColumns=True)
+    return sides.agg(*[F.max(c).alias(c) for c in sides.columns])
 
 
 def top_delayed_routes(routes: DataFrame, k: int = 10) -> DataFrame:

@@ -284,14 +284,14 @@ SELECT delay_bucket, lat, lon, routeShortName, transportationType, delay_min, sp
     q["dash_vehicle_table"] = base + """
 SELECT vehicleId, routeShortName, headsign, transportationType, model, delay_min, speed
 FROM fleet ORDER BY delay_min DESC NULLS LAST, vehicleId"""
-    q["dash_counters"] = with_(*SILVER_ALL, FLEET) + f"""
-SELECT max(event_time_local) AS last_update_local, count(*) AS fleet_rows,
-  CAST(1 AS BIGINT) AS kpi_rows,
-  count(DISTINCT vehicleId) AS active_vehicles,
-  count(DISTINCT CASE WHEN is_moving = false THEN vehicleId END) AS stopped_vehicles,
-  count(DISTINCT CASE WHEN delay > 120 THEN vehicleId END) AS delayed_vehicles,
-  {mean_tenths('CAST(sum(tenths) AS BIGINT)', 'count(tenths)')} AS avg_delay_min
-FROM fleet_t"""
+    q["dash_counters"] = f"""
+SELECT f.last_update_local, f.fleet_rows, k.*
+FROM (SELECT max(event_time_local) AS last_update_local, count(*) AS fleet_rows
+      FROM ({core_sql()["fleet_current"]})) f,
+  (SELECT count(*) AS kpi_rows, CAST(sum(active_vehicles) AS BIGINT) AS active_vehicles,
+     CAST(sum(stopped_vehicles) AS BIGINT) AS stopped_vehicles,
+     CAST(sum(delayed_vehicles) AS BIGINT) AS delayed_vehicles, sum(avg_delay_min) AS avg_delay_min
+   FROM ({core_sql()["live_kpi"]})) k"""
     q["top_delayed_routes"] = core_sql()["route_summary"] + """
 ORDER BY avg_delay_min DESC NULLS LAST, routeId, routeShortName, transportationType
 LIMIT 10"""

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from fleetpulse.functions import scalar as S
 from fleetpulse.operators import clean, enrich, gold, serving
+from fleetpulse.plans.medallion import Store
 from fleetpulse.plans.silver import build_silver
+from fleetpulse.session import scratch_path
 from fleetpulse.sources import adapters as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -201,7 +203,12 @@ def q_dash_vehicle_table(spark, sf):
 
 @register("dash_counters")
 def q_dash_counters(spark, sf):
-    return serving.dash_counters(fleet(spark, sf))
+    """Over the written fleet and KPI tables, as the dashboard reads them."""
+    store = Store(root=scratch_path(spark, "dashboard"))
+    store.write(fleet(spark, sf), "gold_fleet_current")
+    now = store.read(spark, "gold_fleet_current")
+    store.write(gold.live_kpi(now), "gold_live_kpi")
+    return serving.dash_counters(now, store.read(spark, "gold_live_kpi"))
 
 
 @register("top_delayed_routes")
