@@ -5,11 +5,12 @@ Each base value is a protected entity.  Terms near its mentions disclose it as
 far as they point to it in the whole corpus: with c(t, e) texts where term t
 stands near entity e, c(t) documents that hold t, c(e) texts that hold e and N
 documents, the disclosure is PMI(t; e) / IC(e), where
-PMI = log2(c(t, e) * N / (c(t) * c(e))) and IC = log2(N / c(e)): 1 if the term
-occurs nowhere but beside the entity.  Terms from GENERALISE on are replaced
-by a general word, from REMOVE on they are taken out, beside that entity only.
-A term needs at least SUPPORT different texts, so a single mention accuses no
-word, nor do exact copies.
+PMI = log2((c(t, e) / c(e)) / ((c(t) + 1) / (N + 1))) and IC = log2(N / c(e)):
+near 1 if the term occurs nowhere but beside the entity.  The term's share of
+the documents is smoothed by one, so that rare terms count a little less; no
+number of texts is asked for, as most values stand in one text only.  Terms
+from GENERALISE on are replaced by a general word, from REMOVE on they are
+taken out, beside that entity only.
 
 Cases: a null or empty text has no spans and the hash of an empty string;
 rows that repeat id and text count as one text; ties at a threshold are at or
@@ -29,7 +30,6 @@ from fleetpulse.llm.common import documents, id_key, stored, text_hash
 KINDS = ("email", "ip", "card", "phone")
 ACTIONS = ("generalise", "remove")
 WINDOW = 64                # characters before and after a mention
-SUPPORT = 2                # different texts in which term and entity stand together
 GENERALISE, REMOVE = 0.5, 0.8
 TERM = r"(?<![\p{L}\p{N}])\p{L}{3,}+(?![\p{L}\p{N}])"
 
@@ -111,11 +111,11 @@ def disclosing(docs: DataFrame, base: DataFrame) -> DataFrame:
     """(entity, term, action) for terms at or over a threshold."""
     said = mentions(base)
     together = (near_terms(said).select("entity", "term", "__th").distinct()
-                .groupBy("entity", "term").agg(F.count("*").alias("c_te")).filter(F.col("c_te") >= SUPPORT))
+                .groupBy("entity", "term").agg(F.count("*").alias("c_te")))
     known = (said.select("entity", "__th").distinct().groupBy("entity").agg(F.count("*").alias("c_e")))
     scored = (together.join(known, "entity").join(term_counts(docs), "term").withColumn("n", F.lit(docs.count()))
               .withColumn("ic", F.log2(F.col("n") / F.col("c_e")))
-              .withColumn("pmi", F.log2(F.col("c_te") * F.col("n") / (F.col("c_t") * F.col("c_e")))))
+              .withColumn("pmi", F.log2(F.col("c_te") * (F.col("n") + 1) / ((F.col("c_t") + 1) * F.col("c_e")))))
     share = F.when(F.col("ic") > 0, F.col("pmi") / F.col("ic"))
     return (scored.withColumn("share", F.round(share, 9)).filter(F.col("share") >= GENERALISE)
             .select("entity", "term", (F.col("share") >= REMOVE).cast("int").alias("action")))
