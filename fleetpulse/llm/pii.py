@@ -3,17 +3,17 @@
 Base spans are e-mail addresses, IP addresses, card numbers and phone numbers.
 Each base value is a protected entity.  Terms near its mentions disclose it as
 far as they point to it in the whole corpus: with c(t, e) texts where term t
-stands near entity e, c(t) documents that hold t, c(e) texts that hold e and N
-documents, the disclosure is PMI(t; e) / IC(e), where
+stands near entity e, c(t) texts that hold t, c(e) texts that hold e and N
+texts, all of them distinct, the disclosure is PMI(t; e) / IC(e), where
 PMI = log2((c(t, e) / c(e)) / ((c(t) + 1) / (N + 1))) and IC = log2(N / c(e)):
 near 1 if the term occurs nowhere but beside the entity.  The term's share of
-the documents is smoothed by one, so that rare terms count a little less; no
+the texts is smoothed by one, so that rare terms count a little less; no
 number of texts is asked for, as most values stand in one text only.  Terms
 from GENERALISE on are replaced by a general word, from REMOVE on they are
 taken out, beside that entity only.
 
 Cases: a null or empty text has no spans and the hash of an empty string;
-rows that repeat id and text count as one text; ties at a threshold are at or
+rows that repeat a text count as one text; ties at a threshold are at or
 above it; a document without base spans never changes; an empty table gives
 no rows.  All steps are DataFrame and SQL functions.
 """
@@ -100,10 +100,11 @@ def near_terms(said: DataFrame) -> DataFrame:
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """How many documents hold each term, over the whole corpus.  Counted in
-    the tasks that read the texts, so only sums are shuffled."""
-    words = F.expr(f"array_distinct(regexp_extract_all(lower(text), {S.literal(TERM)}, 0))")
-    return (docs.select(F.explode(words).alias("w")).select(F.xxhash64("w").alias("term"))
+    """How many distinct texts hold each term, over the whole corpus.  Only the
+    different terms of a text are shuffled, as one string."""
+    words = F.expr(f"array_join(array_distinct(transform(regexp_extract_all(text, {S.literal(TERM)}, 0), w -> lower(w))), ' ')")
+    texts = docs.select(text_hash().alias("__th"), words.alias("words")).dropDuplicates(["__th"]).filter("words <> ''")
+    return (texts.select(F.explode(F.split("words", " ")).alias("w")).select(F.xxhash64("w").alias("term"))
             .groupBy("term").agg(F.count("*").alias("c_t")))
 
 
@@ -113,7 +114,7 @@ def disclosing(docs: DataFrame, base: DataFrame) -> DataFrame:
     together = (near_terms(said).select("entity", "term", "__th").distinct()
                 .groupBy("entity", "term").agg(F.count("*").alias("c_te")))
     known = (said.select("entity", "__th").distinct().groupBy("entity").agg(F.count("*").alias("c_e")))
-    scored = (together.join(known, "entity").join(term_counts(docs), "term").withColumn("n", F.lit(docs.count()))
+    scored = (together.join(known, "entity").join(term_counts(docs), "term").withColumn("n", F.lit(base.select("__th").distinct().count()))
               .withColumn("ic", F.log2(F.col("n") / F.col("c_e")))
               .withColumn("pmi", F.log2(F.col("c_te") * (F.col("n") + 1) / ((F.col("c_t") + 1) * F.col("c_e")))))
     share = F.when(F.col("ic") > 0, F.col("pmi") / F.col("ic"))

@@ -141,6 +141,14 @@ def test_pii_terms_of_a_single_text_disclose(spark):
     assert out[0] == "meet  friend at the mail [EMAIL] now" and out[10] == texts[10]
 
 
+def test_pii_copies_hide_no_terms(spark):
+    texts = ["meet zanzibar friend at the mail a@b.co now"] + ["the zanzibar mail of a@b.co"] * 200
+    texts += [f"the mail and friend at now meet {i}" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
+    assert out[0] == "meet  friend at the mail [EMAIL] now" and out[1] == out[200] == "the  mail of [EMAIL]"
+
+
 def test_licenses(spark, sf, rows):
     def brute(t):
         w, places, labels = words(t, "[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), [], set()
