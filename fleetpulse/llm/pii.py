@@ -1,16 +1,16 @@
 """Personal data: base patterns, and terms that give protected values away.
 
 Base spans are e-mail addresses, IP addresses, card numbers and phone numbers.
-Each base value is a protected entity.  Terms near its mentions disclose it as
-far as they point to it in the whole corpus: with c(t, e) texts where term t
-stands near entity e, c(t) texts that hold t, c(e) texts that hold e and N
-texts, all of them distinct, the disclosure is PMI(t; e) / IC(e), where
+Each base value is a protected entity.  Terms of the texts that hold it
+disclose it as far as they point to it in the whole corpus: with c(t, e) texts
+that hold both term t and entity e, c(t) texts that hold t, c(e) texts that
+hold e and N texts, all of them distinct, the disclosure is PMI(t; e) / IC(e), where
 PMI = log2((c(t, e) / c(e)) / ((c(t) + 1) / (N + 1))) and IC = log2(N / c(e)):
-near 1 if the term occurs nowhere but beside the entity.  The term's share of
+near 1 if the term occurs nowhere but with the entity.  The term's share of
 the texts is smoothed by one, so that rare terms count a little less; no
 number of texts is asked for, as most values stand in one text only.  Terms
 from GENERALISE on are replaced by a general word, from REMOVE on they are
-taken out, beside that entity only.
+taken out, at each of their places in the texts that hold that entity.
 
 Cases: a null or empty text has no spans and the hash of an empty string;
 rows that repeat a text count as one text; ties at a threshold are at or
@@ -29,9 +29,11 @@ from fleetpulse.llm.common import documents, id_key, stored, text_hash
 # The base kinds and their order.
 KINDS = ("email", "ip", "card", "phone")
 ACTIONS = ("generalise", "remove")
-WINDOW = 64                # characters before and after a mention
 GENERALISE, REMOVE = 0.5, 0.8
 TERM = r"(?<![\p{L}\p{N}])\p{L}{3,}+(?![\p{L}\p{N}])"
+TERMS = f"transform(regexp_extract_all(text, {S.literal(TERM)}, 0), w -> lower(w))"
+ANY = " OR ".join(f"size({k}) > 0" for k in KINDS)
+NO_TERMS = "CAST(array() AS array<struct<start:int,end:int,action:int>>)"
 
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
@@ -49,7 +51,7 @@ def _luhn(v: str) -> str:
     return f"get(transform(array({d}), d -> CASE WHEN length(d) BETWEEN 16 AND 19 THEN {total} % 10 = 0 ELSE false END), 0)"
 
 
-def base_spans(context: int = 0) -> dict[str, str]:
+def base_spans() -> dict[str, str]:
     """SQL for each kind's spans of the column ``text``.
 
     A match may start only where its first run of characters starts or the
@@ -58,82 +60,91 @@ def base_spans(context: int = 0) -> dict[str, str]:
     """
     return {
         "email": S.spans("text", "email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++"
-                         r"(?:\.[A-Za-z0-9-]++)++", needs="@", context=context),
+                         r"(?:\.[A-Za-z0-9-]++)++", needs="@"),
         "ip": S.spans("text", "ip", r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-                      lambda v: f"{v} RLIKE '^{OCTET}(?:[.]{OCTET}){{3}}$'", needs=".", context=context),
-        "card": S.spans("text", "card", r"[0-9](?:[\x20-]?[0-9])++", _luhn, context=context),
+                      lambda v: f"{v} RLIKE '^{OCTET}(?:[.]{OCTET}){{3}}$'", needs="."),
+        "card": S.spans("text", "card", r"[0-9](?:[\x20-]?[0-9])++", _luhn),
         "phone": S.spans("text", "phone", r"\+[0-9][\x20().0-9-]+[0-9]",
-                         lambda v: f"length({_digits(v)}) BETWEEN 8 AND 15", needs="+", context=context),
+                         lambda v: f"length({_digits(v)}) BETWEEN 8 AND 15", needs="+"),
     }
 
 
 def found(docs: DataFrame) -> DataFrame:
-    """Base spans of each distinct (id, text), by kind, as a stored table."""
+    """Base spans of each distinct (id, text), by kind, as a stored table; with
+    the text itself (``held``) where it has any."""
     rows = docs.select(id_key().alias("__id"), text_hash().alias("__th"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    return stored(rows.selectExpr("__id", "__th", *[f"{sql} AS {k}" for k, sql in base_spans(WINDOW).items()]),
-                  "pii").dropDuplicates(["__id", "__th"])
+    spans = rows.selectExpr("__id", "__th", "text", *[f"{sql} AS {k}" for k, sql in base_spans().items()])
+    return stored(spans.selectExpr("__id", "__th", *KINDS, f"CASE WHEN {ANY} THEN text END AS held"), "pii")
 
 
 def mentions(base: DataFrame) -> DataFrame:
-    """One row for each base span: its entity and the text around it."""
-    spans = base.select("__id", "__th", F.explode(F.concat(*KINDS)).alias("s"))
+    """The entities of each text."""
+    spans = base.filter(ANY).select("__th", F.explode(F.concat(*KINDS)).alias("s"))
     value = F.when(F.col("s.kind").isin("card", "phone"), F.regexp_replace("s.value", "[^0-9]", "")
                    ).otherwise(F.lower("s.value"))
-    return spans.select("__id", "__th", F.xxhash64("s.kind", value).alias("entity"),
-                        F.col("s.start").alias("start"), F.col("s.end").alias("end"),
-                        F.col("s.left").alias("left"), F.col("s.right").alias("right"))
+    return spans.select("__th", F.xxhash64("s.kind", value).alias("entity")).distinct()
 
 
-def near_terms(said: DataFrame) -> DataFrame:
-    """The whole words around each mention, with their places in the text."""
-    # a word that the window's edge may have cut is left out
-    sides = said.selectExpr(
-        "*", f"transform(filter({S.spans('left', 'term', TERM)}, x -> x.start > 0 OR length(left) < {WINDOW}), "
-             "x -> named_struct('term', lower(x.value), 'start', start - length(left) + x.start, "
-             "'end', start - length(left) + x.end)) AS before",
-        f"transform(filter({S.spans('right', 'term', TERM)}, x -> x.end < {WINDOW}), "
-        "x -> named_struct('term', lower(x.value), 'start', end + x.start, 'end', end + x.end)) AS after")
-    return (sides.select("__id", "__th", "entity", F.explode(F.concat("before", "after")).alias("t"))
-            .select("__id", "__th", "entity", F.xxhash64("t.term").alias("term"),
-                    F.col("t.start").alias("start"), F.col("t.end").alias("end")))
+def distinct_terms(texts: DataFrame) -> DataFrame:
+    """The different terms of each text of (``__th``, ``text``), once for all
+    copies.  They are shuffled as one string a text."""
+    words = F.expr(f"array_join(array_distinct({TERMS}), ' ')")
+    each = texts.select("__th", words.alias("words")).dropDuplicates(["__th"]).filter("words <> ''")
+    return each.select("__th", F.explode(F.split("words", " ")).alias("w")).select("__th", F.xxhash64("w").alias("term"))
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """How many distinct texts hold each term, over the whole corpus.  Only the
-    different terms of a text are shuffled, as one string."""
-    words = F.expr(f"array_join(array_distinct(transform(regexp_extract_all(text, {S.literal(TERM)}, 0), w -> lower(w))), ' ')")
-    texts = docs.select(text_hash().alias("__th"), words.alias("words")).dropDuplicates(["__th"]).filter("words <> ''")
-    return (texts.select(F.explode(F.split("words", " ")).alias("w")).select(F.xxhash64("w").alias("term"))
+    """How many distinct texts hold each term, over the whole corpus."""
+    return (distinct_terms(docs.select(text_hash().alias("__th"), "text"))
             .groupBy("term").agg(F.count("*").alias("c_t")))
 
 
 def disclosing(docs: DataFrame, base: DataFrame) -> DataFrame:
-    """(entity, term, action) for terms at or over a threshold."""
-    said = mentions(base)
-    together = (near_terms(said).select("entity", "term", "__th").distinct()
-                .groupBy("entity", "term").agg(F.count("*").alias("c_te")))
-    known = (said.select("entity", "__th").distinct().groupBy("entity").agg(F.count("*").alias("c_e")))
-    scored = (together.join(known, "entity").join(term_counts(docs), "term").withColumn("n", F.lit(base.select("__th").distinct().count()))
+    """(__th, term, action) for terms at or over a threshold for any entity of
+    a text."""
+    n = base.select("__th").distinct().count()
+    said = stored(mentions(base), "entities")
+    known = said.groupBy("entity").agg(F.count("*").alias("c_e"))
+    most = known.agg(F.max("c_e")).first()[0] or 1
+    counts = stored(term_counts(docs), "term_counts")
+    # c(t, e) <= c(e), so a term in more texts is under the threshold for every
+    # entity; with few entities these are the terms that most texts share
+    rare = F.col("c_t") + 1 <= (n + 1) * (most / max(n, 1)) ** GENERALISE * (1 + 1e-6)
+    terms = (distinct_terms(base.filter("held IS NOT NULL").select("__th", F.col("held").alias("text")))
+             .join(F.broadcast(counts.filter(~rare).select("term")), "term", "left_anti"))
+    pairs = stored(terms.join(said, "__th"), "pairs")
+    together = pairs.groupBy("entity", "term").agg(F.count("*").alias("c_te"))
+    scored = (together.join(known, "entity").join(counts.filter(rare), "term").withColumn("n", F.lit(n))
               .withColumn("ic", F.log2(F.col("n") / F.col("c_e")))
               .withColumn("pmi", F.log2(F.col("c_te") * (F.col("n") + 1) / ((F.col("c_t") + 1) * F.col("c_e")))))
     share = F.when(F.col("ic") > 0, F.col("pmi") / F.col("ic"))
-    return (scored.withColumn("share", F.round(share, 9)).filter(F.col("share") >= GENERALISE)
-            .select("entity", "term", (F.col("share") >= REMOVE).cast("int").alias("action")))
+    flagged = (scored.withColumn("share", F.round(share, 9)).filter(F.col("share") >= GENERALISE)
+               .select("entity", "term", (F.col("share") >= REMOVE).cast("int").alias("action")))
+    return pairs.join(flagged, ["entity", "term"]).groupBy("__th", "term").agg(F.max("action").alias("action"))
 
 
 def all_spans(docs: DataFrame) -> DataFrame:
     """Each distinct (id, text) with its base spans by kind and ``terms``:
     structs of start, end and action, clear of all base spans."""
-    base = found(docs)
-    said = near_terms(mentions(base))
-    flagged = stored(disclosing(docs, base), "terms")
-    hits = (said.join(flagged, ["entity", "term"]).groupBy("__id", "__th", "start", "end")
-            .agg(F.max("action").alias("action")))
-    terms = hits.groupBy("__id", "__th").agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", "action"))).alias("terms"))
+    rows = found(docs)
+    base = rows.select("__id", "__th", *KINDS).dropDuplicates(["__id", "__th"])
+    acts = disclosing(docs, rows).groupBy("__th").agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("acts"))
+    texts = rows.filter("held IS NOT NULL").select("__id", "__th", "held").dropDuplicates(["__id", "__th"])
+    p = S.literal(TERM)
+    # only places of flagged terms are gathered, so the rest of a text takes linear time
+    places = f"""aggregate(
+        zip_with(regexp_extract_all(held, {p}, 0), split(held, {p}, -1), (w, g) -> named_struct(
+            'gap', length(g), 'size', coalesce(length(w), 0), 'action', acts[xxhash64(lower(w))])),
+        named_struct('at', 0, 'out', {NO_TERMS}),
+        (acc, x) -> named_struct('at', acc.at + x.gap + x.size, 'out', CASE WHEN x.action IS NULL THEN acc.out
+            ELSE concat(acc.out, array(named_struct('start', acc.at + x.gap, 'end', acc.at + x.gap + x.size,
+                'action', x.action))) END),
+        acc -> acc.out)"""
+    terms = texts.join(acts, "__th").selectExpr("__id", "__th", f"{places} AS terms")
     joined = base.join(terms, ["__id", "__th"], "left")
-    free = ("filter(coalesce(terms, array()), t -> NOT exists(concat(email, ip, card, phone), "
+    free = (f"filter(coalesce(terms, {NO_TERMS}), t -> NOT exists(concat(email, ip, card, phone), "
             "s -> s.start < t.end AND t.start < s.end))")
     return joined.selectExpr("__id", "__th", *KINDS, f"{free} AS terms")
 

@@ -149,6 +149,17 @@ def test_pii_copies_hide_no_terms(spark):
     assert out[0] == "meet  friend at the mail [EMAIL] now" and out[1] == out[200] == "the  mail of [EMAIL]"
 
 
+def test_pii_terms_far_from_the_value_disclose(spark):
+    fill = " the mail and friend at now meet" * 10
+    texts = [f"Zanzibar, {fill}, a@b.co {fill} zanzibar{fill}", "the zanzibarer"] + [f"{fill} {i}" for i in range(100)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(500, texts[0]), (0, texts[0]), (None, None)],
+                                 "doc_id long, text string")
+    out = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
+    assert out[0] == out[500] == f", {fill}, [EMAIL] {fill} {fill}" and out[1] == texts[1] and out[None] is None
+    spans = {r["__id"]: r.terms for r in pii.all_spans(docs).collect()}
+    assert [texts[0][t.start : t.end] for t in spans[500]] == ["Zanzibar", "zanzibar"] and spans[1] == []
+
+
 def test_licenses(spark, sf, rows):
     def brute(t):
         w, places, labels = words(t, "[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), [], set()
