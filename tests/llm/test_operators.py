@@ -324,6 +324,22 @@ def test_toxicity_reads_disguised_words(spark):
         assert model.score(reader.words(clean)) < 0.7
 
 
+def test_toxicity_reads_ends_and_spaced_words(spark):
+    bad, good = ["hate", "losers", "die", "idiot"], ["house", "river", "stone", "light", "garden", "little", "you"]
+    texts = [(i, " ".join([*good[i % 3:], bad[i // 4 % 4] if i % 4 == 0 else "plain", good[i % 5]]), int(i % 4 == 0))
+             for i in range(400)]
+    table = spark.createDataFrame([(i, f"{t} number {i * 7919}", x) for i, t, x in texts], "doc_id long, text string, toxic int")
+    model = toxicity.fit(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    reader = model.reader()
+    for written in ("h4t3", "l0s3r5", "d i e", "h a t e", "h  a  t  e", "y o u i d i o t", "1d10+", "1d10t!", "d13", "idioot"):
+        assert model.score(reader.words(f"the {written} there")) >= 0.7, written
+        assert model.score(reader.words(written)) >= 0.7, written
+    assert toxicity.restore("4$$", toxicity.CharModel(dict.fromkeys(toxicity.word_grams("ass"), 50))) == "ass"
+    assert list(reader.stretches("a 4$$ b")) == ["4$$"]
+    for clean in ("", "the house! by the river", "room 42 at 7", "the stone $5 (little)", "a little light"):
+        assert model.score(reader.words(clean)) < 0.7, clean
+
+
 def test_toxicity_query(spark, sf, rows):
     got = toxicity.op8_toxicity(spark, sf).collect()
     assert len(got) == len(rows) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got)
