@@ -48,7 +48,7 @@ def sf(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def empty(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "labels", "benchmark"):
+    for name in ("documents", "labels", "benchmark", "embeddings"):
         spark.read.parquet(f"{SF001}/{name}.parquet").limit(0).write.parquet(f"{root}/{name}.parquet")
     return root
 
