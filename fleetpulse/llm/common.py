@@ -71,3 +71,16 @@ def id_key(doc_id: Column | str = "doc_id") -> Column:
     """The id as a join key that also matches null ids."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.coalesce(col.cast("long"), F.lit(-(2**63)))
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores before it until no column of ``df`` has
+    it (in any case), so that added columns replace none of the user's."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -14,8 +14,10 @@ taken out, at each of their places in the texts that hold that entity.
 
 Cases: a null or empty text has no spans and the hash of an empty string;
 rows that repeat a text count as one text; ties at a threshold are at or
-above it; a document without base spans never changes; an empty table gives
-no rows.  All steps are DataFrame and SQL functions.
+above it; a document without base spans never changes, and neither do terms
+where an entity stands in every text, as it can't be disclosed; a very long
+text, or one with very many matches, takes time near its length; an empty
+table gives no rows.  All steps are DataFrame and SQL functions.
 """
 
 from __future__ import annotations
@@ -24,12 +26,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.llm import spans as S
-from fleetpulse.llm.common import documents, id_key, stored, text_hash
+from fleetpulse.llm.common import documents, free_names, id_key, stored, text_hash
 
 # The base kinds and their order.
 KINDS = ("email", "ip", "card", "phone")
 ACTIONS = ("generalise", "remove")
 GENERALISE, REMOVE = 0.5, 0.8
+BROADCAST_TERMS = 1_000_000    # more terms than this are joined, not broadcast
 TERM = r"(?<![\p{L}\p{N}])\p{L}{3,}+(?![\p{L}\p{N}])"
 TERMS = f"transform(regexp_extract_all(text, {S.literal(TERM)}, 0), w -> lower(w))"
 ANY = " OR ".join(f"size({k}) > 0" for k in KINDS)
@@ -79,11 +82,21 @@ def found(docs: DataFrame) -> DataFrame:
 
 
 def mentions(base: DataFrame) -> DataFrame:
-    """The entities of each text."""
+    """The entities of each text (``__th``, ``entity``, ``c_e``).
+
+    Entities that stand in exactly the same texts disclose alike, so they are
+    one here: however many values a text holds that no other text has, they
+    make one row, and terms and entities of a text don't multiply.
+    """
     spans = base.filter(ANY).select("__th", F.explode(F.concat(*KINDS)).alias("s"))
     value = F.when(F.col("s.kind").isin("card", "phone"), F.regexp_replace("s.value", "[^0-9]", "")
                    ).otherwise(F.lower("s.value"))
-    return spans.select("__th", F.xxhash64("s.kind", value).alias("entity")).distinct()
+    held = spans.select("__th", F.xxhash64("s.kind", value).alias("value")).distinct()
+    # hashes of the set of its texts
+    texts = held.groupBy("value").agg(F.count("*").alias("c_e"), F.bit_xor(F.xxhash64("__th", F.lit(1))).alias("x"),
+                                      F.bit_xor(F.xxhash64("__th", F.lit(2))).alias("y"))
+    return (held.join(texts, "value").select("__th", F.xxhash64("c_e", "x", "y").alias("entity"), "c_e")
+            .dropDuplicates(["__th", "entity"]))
 
 
 def distinct_terms(texts: DataFrame) -> DataFrame:
@@ -105,17 +118,19 @@ def disclosing(docs: DataFrame, base: DataFrame) -> DataFrame:
     a text."""
     n = base.select("__th").distinct().count()
     said = stored(mentions(base), "entities")
-    known = said.groupBy("entity").agg(F.count("*").alias("c_e"))
-    most = known.agg(F.max("c_e")).first()[0] or 1
+    most = said.agg(F.max("c_e")).first()[0] or 1
     counts = stored(term_counts(docs), "term_counts")
     # c(t, e) <= c(e), so a term in more texts is under the threshold for every
     # entity; with few entities these are the terms that most texts share
     rare = F.col("c_t") + 1 <= (n + 1) * (most / max(n, 1)) ** GENERALISE * (1 + 1e-6)
+    common = counts.filter(~rare).select("term")
+    if common.count() <= BROADCAST_TERMS:
+        common = F.broadcast(common)
     terms = (distinct_terms(base.filter("held IS NOT NULL").select("__th", F.col("held").alias("text")))
-             .join(F.broadcast(counts.filter(~rare).select("term")), "term", "left_anti"))
+             .join(common, "term", "left_anti"))
     pairs = stored(terms.join(said, "__th"), "pairs")
-    together = pairs.groupBy("entity", "term").agg(F.count("*").alias("c_te"))
-    scored = (together.join(known, "entity").join(counts.filter(rare), "term").withColumn("n", F.lit(n))
+    together = pairs.groupBy("entity", "term").agg(F.count("*").alias("c_te"), F.first("c_e").alias("c_e"))
+    scored = (together.join(counts.filter(rare), "term").withColumn("n", F.lit(n))
               .withColumn("ic", F.log2(F.col("n") / F.col("c_e")))
               .withColumn("pmi", F.log2(F.col("c_te") * (F.col("n") + 1) / ((F.col("c_t") + 1) * F.col("c_e")))))
     share = F.when(F.col("ic") > 0, F.col("pmi") / F.col("ic"))
@@ -133,15 +148,10 @@ def all_spans(docs: DataFrame) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("acts"))
     texts = rows.filter("held IS NOT NULL").select("__id", "__th", "held").dropDuplicates(["__id", "__th"])
     p = S.literal(TERM)
-    # only places of flagged terms are gathered, so the rest of a text takes linear time
-    places = f"""aggregate(
-        zip_with(regexp_extract_all(held, {p}, 0), split(held, {p}, -1), (w, g) -> named_struct(
-            'gap', length(g), 'size', coalesce(length(w), 0), 'action', acts[xxhash64(lower(w))])),
-        named_struct('at', 0, 'out', {NO_TERMS}),
-        (acc, x) -> named_struct('at', acc.at + x.gap + x.size, 'out', CASE WHEN x.action IS NULL THEN acc.out
-            ELSE concat(acc.out, array(named_struct('start', acc.at + x.gap, 'end', acc.at + x.gap + x.size,
-                'action', x.action))) END),
-        acc -> acc.out)"""
+    sizes = "transform(m, (w, i) -> named_struct('gap', length(get(g, i)), 'size', length(w)))"
+    placed = ("filter(zip_with(m, {starts}, (w, s) -> named_struct('start', s, 'end', s + length(w), "
+              "'action', acts[xxhash64(lower(w))])), x -> x.action IS NOT NULL)").format(starts=S.starts(sizes))
+    places = S.bound(f"regexp_extract_all(held, {p}, 0)", "m", S.bound(f"split(held, {p}, -1)", "g", placed))
     terms = texts.join(acts, "__th").selectExpr("__id", "__th", f"{places} AS terms")
     joined = base.join(terms, ["__id", "__th"], "left")
     free = (f"filter(coalesce(terms, {NO_TERMS}), t -> NOT exists(concat(email, ip, card, phone), "
@@ -172,14 +182,11 @@ def sanitised(docs: DataFrame) -> DataFrame:
         [f"transform({k}, s -> named_struct('start', s.start, 'end', s.end, 'mark', '[{k.upper()}]'))" for k in KINDS]
         + ["transform(terms, t -> named_struct('start', t.start, 'end', t.end, "
            "'mark', CASE t.action WHEN 0 THEN '[TERM]' ELSE '' END))"]) + ")"
-    marked = spans.selectExpr("__id", "__th", f"array_sort({marks}) AS __marks").filter("size(__marks) > 0")
-    rows = docs.withColumns({"__id": id_key(), "__th": text_hash()})
-    new = """CASE WHEN __marks IS NULL THEN text ELSE aggregate(__marks, named_struct('at', 0, 'out', ''),
-        (acc, m) -> named_struct('at', greatest(acc.at, m.end), 'out', CASE WHEN m.start >= acc.at
-            THEN concat(acc.out, substring(text, acc.at + 1, m.start - acc.at), m.mark) ELSE acc.out END),
-        acc -> concat(acc.out, substring(text, acc.at + 1))) END"""
-    joined = rows.join(marked, ["__id", "__th"], "left").withColumn("text", F.expr(new))
-    out = joined.select(*docs.columns)
+    names = free_names(docs, "__id", "__th", "__marks")
+    marked = spans.selectExpr("__id", "__th", f"array_sort({marks}) AS __marks").filter("size(__marks) > 0").toDF(*names)
+    rows = docs.withColumns(dict(zip(names, (id_key(), text_hash()))))
+    new = f"CASE WHEN {names[2]} IS NULL THEN text ELSE {S.masked('text', names[2])} END"
+    out = rows.join(marked, names[:2], "left").withColumn("text", F.expr(new)).select(*docs.columns)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)
                           ) if "n_chars" in docs.columns else out
 
