@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import documents, id_key, python_tasks, stored, text_hash
+from fleetpulse.llm.common import documents, free_names, id_key, python_tasks, stored, text_hash
 from fleetpulse.llm.components import components
 from fleetpulse.llm.words import NOT_SPACE, Words, chunks, list_column, longs, minima, mix, multipliers, raw_texts
 
@@ -262,8 +262,9 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     words all stay, and rows repeated in full stay once."""
     python_tasks(spark)
     found = near_duplicates(docs, k=5)
+    row_id, row_th, wordless = free_names(docs, "__id", "__th", "__wordless")
     keep = (found.filter((F.col("n") == 0) | (F.col("__id") == F.col("first.id")) & (F.col("__th") == F.col("first.th")))
-            .select("__id", "__th", "n"))
-    rows = docs.withColumns({"__id": id_key(), "__th": text_hash()}).join(keep, ["__id", "__th"])
-    wordless = rows.filter("n = 0").select(*docs.columns)
-    return rows.filter("n > 0").dropDuplicates(["__id", "__th"]).select(*docs.columns).unionByName(wordless)
+            .select(F.col("__id").alias(row_id), F.col("__th").alias(row_th), (F.col("n") == 0).alias(wordless)))
+    rows = docs.withColumns({row_id: id_key(), row_th: text_hash()}).join(keep, [row_id, row_th])
+    empty = rows.filter(wordless).select(*docs.columns)
+    return rows.filter(~F.col(wordless)).dropDuplicates([row_id, row_th]).select(*docs.columns).unionByName(empty)
