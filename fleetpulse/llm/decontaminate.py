@@ -6,17 +6,19 @@ of 2u shingles that start every u, so any passage of an item's length lies in
 one window whole, and an item contained to 0.8 has a Jaccard similarity of at
 least 0.19 with it however long the document is.  Each MinHash sample is a
 band of its own: with 64 samples such a window is missed with a probability
-of at most 2e-6.  A fixed-size filter of the items' samples tells the tasks
-which windows to send on; a join on the samples gives candidates, and shared
-shingles are counted exactly over all candidate windows of the document.
+of at most 2e-6.  Filters of the items' samples and shingles, sized by their
+number, tell the tasks what to send on; a join on the samples gives candidate
+pairs of document and item, and these are verified by all shingles of the
+whole document, wherever they stand.  An item of fewer words than a shingle
+is one shingle of its own length, looked up among the documents' word runs of
+that length.
 
 Words are runs of digits, A-Z in either case and non-ASCII characters.
 
 Cases: null and empty texts, and texts without words, contain nothing and
-items without words are found nowhere; an item of fewer words than a shingle
-is one shingle, found in documents that are just as short; repeated rows give
-equal results, repeated items count each by their id and text; empty tables
-give no rows.
+items without words are found nowhere; repeated rows give equal results,
+repeated items count each by their id and text; very long texts are read whole;
+a text's columns besides id and text don't matter; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -28,13 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import documents, id_key, python_tasks, stored, table, text_hash
+from fleetpulse.llm.common import documents, free_names, id_key, python_tasks, stored, table, text_hash
 from fleetpulse.llm.words import ALNUM, Words, chunks, list_column, longs, minima, mix, multipliers, raw_texts
 
 SAMPLES = 64
 K = 5                      # words in a shingle
 CONTAINED = 0.8
-FILTER_BITS = 22           # the filter holds 2^22 flags, whatever the number of items
+# Flags of a filter for each of its keys, as a power of two overall within these
+# bounds: 2^28 flags (32 MB) let through under a tenth of unrelated windows up
+# to some 80,000 items; the joins on the keys reject the rest.
+FLAGS_PER_KEY, LEAST_BITS, MOST_BITS = 50, 16, 28
 
 
 def size_class(n: np.ndarray) -> np.ndarray:
@@ -49,7 +54,7 @@ def sample_keys(samples: np.ndarray, level: int) -> np.ndarray:
 
 
 def item_keys(items: DataFrame, item_id: str) -> DataFrame:
-    """(``item``, ``__ith``, ``level``, ``keys``, ``shingles``) of every item."""
+    """(``item``, ``__ith``, ``words``, ``level``, ``keys``, ``shingles``) of every item."""
     a, b = multipliers(SAMPLES, seed=5)
     kind = items.schema[item_id].dataType.simpleString()
 
@@ -57,7 +62,8 @@ def item_keys(items: DataFrame, item_id: str) -> DataFrame:
         for batch in batches:
             texts = raw_texts(batch.column("text"))
             for lo, hi in chunks(texts):
-                sh, bounds = Words(texts[lo:hi], ALNUM).shingles(K)
+                words = Words(texts[lo:hi], ALNUM)
+                sh, bounds = words.shingles(K)
                 rows = []
                 for i in np.flatnonzero(np.diff(bounds)):
                     own = np.unique(sh[bounds[i] : bounds[i + 1]])
@@ -67,51 +73,44 @@ def item_keys(items: DataFrame, item_id: str) -> DataFrame:
                 at = pa.array([r[0] for r in rows], pa.int64())
                 yield pa.RecordBatch.from_pydict({
                     "item": batch.column("item").take(at), "__ith": batch.column("__ith").take(at),
+                    "words": pa.array(words.counts[at.to_numpy() - lo].astype(np.int64)),
                     "level": pa.array([r[1] for r in rows], pa.int32()),
                     "keys": pa.array([r[2] for r in rows], pa.list_(pa.int64())),
                     "shingles": pa.array([r[3] for r in rows], pa.list_(pa.int64()))})
 
     rows = items.select(F.col(item_id).alias("item"), text_hash().alias("__ith"), "text").distinct()
-    return rows.mapInArrow(run, f"item {kind}, __ith long, level int, keys array<long>, shingles array<long>")
+    return rows.mapInArrow(run, f"item {kind}, __ith long, words long, level int, keys array<long>, shingles array<long>")
 
 
 class KeyFilter:
-    """Two flags for each key: no false negatives, a bounded size."""
+    """Two flags for each key: no false negatives, a size that follows the keys
+    up to a bound."""
 
-    def __init__(self, flags: np.ndarray):
-        self.flags = flags
+    def __init__(self, bits: int, words: np.ndarray):
+        self.bits, self.words = bits, words
 
-    @staticmethod
-    def slots(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return keys >> np.uint64(64 - FILTER_BITS), keys & np.uint64((1 << FILTER_BITS) - 1)
+    def _set(self, slots: np.ndarray) -> np.ndarray:
+        return (self.words[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1) == 1
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        """Flat places of the keys that may be among the items'."""
+        """Flat places of the keys that may be among those of the filter."""
         flat = keys.ravel()
-        maybe = np.flatnonzero(self.flags[flat >> np.uint64(64 - FILTER_BITS)])
-        return maybe[self.flags[flat[maybe] & np.uint64((1 << FILTER_BITS) - 1)]]
+        maybe = np.flatnonzero(self._set(flat >> np.uint64(64 - self.bits)))
+        return maybe[self._set(flat[maybe] & np.uint64((1 << self.bits) - 1))]
 
 
-def key_filter(keyed: DataFrame) -> tuple[KeyFilter, list[int]]:
-    """The filter of all item keys, made of one bitmap from each task, and the
-    size partitions that have items."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags, levels = np.zeros(1 << FILTER_BITS, dtype=bool), set()
-        for batch in batches:
-            keys = batch.column("keys").flatten().to_numpy().view(np.uint64)
-            for s in KeyFilter.slots(keys):
-                flags[s] = True
-            levels |= set(batch.column("level").to_pylist())
-        yield pa.RecordBatch.from_pydict({"flags": pa.array([np.packbits(flags).tobytes()], pa.binary()),
-                                          "levels": pa.array([sorted(levels)], pa.list_(pa.int32()))})
-
-    # at most eight tasks, so at most eight bitmaps of fixed size are collected
-    parts = keyed.select("keys", "level").coalesce(8).mapInArrow(run, "flags binary, levels array<int>").collect()
-    flags, levels = np.zeros(1 << FILTER_BITS, dtype=bool), set()
-    for p in parts:
-        flags |= np.unpackbits(np.frombuffer(p.flags, dtype=np.uint8)).view(bool)
-        levels |= set(p.levels)
-    return KeyFilter(flags), sorted(levels)
+def key_filter(keys: DataFrame) -> KeyFilter:
+    """The filter of a column of keys, made as a table of its 64-bit words."""
+    keys = keys.toDF("key")
+    bits = int(np.clip(np.ceil(np.log2(FLAGS_PER_KEY * max(1, keys.count()))), LEAST_BITS, MOST_BITS))
+    slots = F.array(F.shiftrightunsigned("key", 64 - bits), F.col("key").bitwiseAND(F.lit((1 << bits) - 1)))
+    words = (keys.select(F.explode(slots).alias("slot"))
+             .groupBy(F.shiftrightunsigned("slot", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS int))")).alias("flags")))
+    rows = words.toArrow()                               # at most 2^MOST_BITS / 64 rows
+    out = np.zeros(1 << (bits - 6), dtype=np.int64)
+    out[rows["word"].to_numpy()] = rows["flags"].to_numpy()
+    return KeyFilter(bits, out.view(np.uint64))
 
 
 def _blocks(bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -124,8 +123,8 @@ def _blocks(bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def window_hits(sh: np.ndarray, bounds: np.ndarray, flt: KeyFilter, levels: list[int],
-                a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
-    """(text, level, from, to, keys) of the windows whose samples pass the filter.
+                a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(texts, keys) of the windows' samples that pass the filter.
 
     Minima are taken over the smallest blocks once; larger blocks combine them.
     """
@@ -147,64 +146,84 @@ def window_hits(sh: np.ndarray, bounds: np.ndarray, flt: KeyFilter, levels: list
         after = np.minimum(np.arange(n) + 1, ends[owner + 1] - 1)
         keys = sample_keys(np.minimum(mins, mins[:, after]), target)
         held = flt.has(keys)
-        place = held % n
-        order = np.argsort(place, kind="stable")
-        held, place = held[order], place[order]
-        flat = keys.ravel()
-        cuts = np.flatnonzero(np.diff(place, prepend=-1))
-        for i, j in zip(cuts, [*cuts[1:], len(place)]):
-            w = place[i]
-            stop = min(starts[w] + (2 << target), bounds[owner[w] + 1])
-            yield owner[w], target, starts[w], stop, flat[held[i:j]]
+        yield owner[held % n], keys.ravel()[held]
+
+
+def grouped(owner: np.ndarray, keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of each of ``n`` texts, and their bounds."""
+    order = np.lexsort((keys, owner))
+    owner, keys = owner[order], keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (keys[1:] != keys[:-1])
+    return keys[new], np.searchsorted(owner[new], np.arange(n + 1))
 
 
-def matched_windows(docs: DataFrame, flt: KeyFilter, levels: list[int]) -> DataFrame:
-    """(``__id``, ``__th``, ``window``, ``keys``, ``shingles``) of promising windows."""
+def promising(docs: DataFrame, samples: KeyFilter, held: KeyFilter, levels: list[int],
+              short: list[int]) -> DataFrame:
+    """(``__id``, ``__th``, ``keys``, ``shingles``) of the texts that may contain
+    an item: the samples of their windows that items may have, and all of their
+    shingles that items may have.  ``short`` are the lengths of short items."""
     rows = docs.select(id_key().alias("__id"), text_hash().alias("__th"), "text")
     a, b = multipliers(SAMPLES, seed=5)
-    shared = docs.sparkSession.sparkContext.broadcast(flt)
+    shared = docs.sparkSession.sparkContext.broadcast((samples, held))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flt, own_flt = shared.value
         for batch in batches:
             texts = raw_texts(batch.column("text"))
             for lo, hi in chunks(texts):
-                sh, bounds = Words(texts[lo:hi], ALNUM).shingles(K)
-                found = list(window_hits(sh, bounds, shared.value, levels, a, b)) if len(sh) else []
-                if not found:
+                words, n = Words(texts[lo:hi], ALNUM), hi - lo
+                sh, bounds = words.shingles(K)
+                found = list(window_hits(sh, bounds, flt, levels, a, b)) if len(sh) and levels else []
+                own = [(np.repeat(np.arange(n), np.diff(bounds)), sh)]
+                for w in short:                          # a text of fewer words gives its whole sequence again
+                    part, ends = words.shingles(w)
+                    own.append((np.repeat(np.arange(n), np.diff(ends)), part))
+                    hit = own_flt.has(part)
+                    found.append((own[-1][0][hit], part[hit]))
+                keys, ends = grouped(*(np.concatenate(x) for x in zip(*found)), n) if found else (sh[:0], np.zeros(n + 1, int))
+                some = np.flatnonzero(np.diff(ends))
+                if not len(some):
                     continue
-                at = pa.array([lo + f[0] for f in found], pa.int64())
+                owner, all_sh = (np.concatenate(x) for x in zip(*own))
+                wanted = np.zeros(n, dtype=bool)
+                wanted[some] = True
+                at = np.flatnonzero(wanted[owner])
+                at = at[own_flt.has(all_sh[at])]
+                shingles, cut = grouped(owner[at], all_sh[at], n)
                 yield pa.RecordBatch.from_pydict({
-                    "__id": batch.column("__id").take(at), "__th": batch.column("__th").take(at),
-                    "window": pa.array([(int(f[2]) - int(bounds[f[0]])) * 64 + f[1] for f in found], pa.int64()),
-                    "keys": pa.array([longs(f[4]) for f in found], pa.list_(pa.int64())),
-                    "shingles": pa.array([longs(np.unique(sh[f[2] : f[3]])) for f in found], pa.list_(pa.int64()))})
+                    "__id": batch.column("__id").slice(lo, n), "__th": batch.column("__th").slice(lo, n),
+                    "keys": list_column(longs(keys), ends), "shingles": list_column(longs(shingles), cut)}
+                ).take(pa.array(some))
 
-    return rows.mapInArrow(run, "__id long, __th long, window long, keys array<long>, shingles array<long>")
+    return rows.mapInArrow(run, "__id long, __th long, keys array<long>, shingles array<long>")
 
 
 def contained(docs: DataFrame, items: DataFrame, item_id: str = "item_id", least: float = CONTAINED) -> DataFrame:
     """(``__id``, ``__th``, ``item``, ``n_shared``, ``containment``) of every
     text that contains at least ``least`` of an item's shingles."""
     keyed = stored(item_keys(items, item_id), "items")
-    flt, levels = key_filter(keyed)
     kind = items.schema[item_id].dataType.simpleString()
-    if not levels:
+    # items of the same text are looked for once
+    once = keyed.dropDuplicates(["__ith"])
+    short = F.col("words") < K
+    asked = stored(once.select("__ith", F.explode(F.when(short, F.col("shingles")).otherwise(
+        F.array_distinct("keys"))).alias("key")), "asked")
+    if asked.isEmpty():
         return docs.sparkSession.createDataFrame(
             [], f"__id long, __th long, item {kind}, n_shared long, containment double")
-    windows = stored(matched_windows(docs, flt, levels), "windows").dropDuplicates(["__id", "__th", "window"])
+    levels = sorted(r[0] for r in once.filter(~short).select("level").distinct().collect())      # powers of two
+    lengths = sorted(r[0] for r in once.filter(short).select("words").distinct().collect())      # below K
+    own = stored(once.select("__ith", F.size("shingles").alias("size"), F.explode("shingles").alias("s")), "item-shingles")
+    found = stored(promising(docs, key_filter(asked.select("key")), key_filter(own.select("s")), levels, lengths),
+                   "promising").dropDuplicates(["__id", "__th"])
     row = ["__id", "__th"]
-    asked = keyed.select("item", "__ith", F.explode(F.array_distinct("keys")).alias("key"))
-    met = (windows.select(*row, "window", F.explode(F.array_distinct("keys")).alias("key")).join(asked, "key")
-           .select(*row, "window", "item", "__ith").distinct())
-    shared = (met.join(windows.select(*row, "window", "shingles"), [*row, "window"])
-              .join(keyed.select(F.col("item").alias("i"), F.col("__ith").alias("t"), F.col("shingles").alias("own")),
-                    F.col("item").eqNullSafe(F.col("i")) & (F.col("__ith") == F.col("t")))
-              .select(*row, "item", "__ith", F.size("own").alias("size"),
-                      F.explode(F.array_intersect("shingles", "own")).alias("s")))
-    counted = (shared.groupBy(*row, "item", "__ith", "size", "s").agg(F.lit(1).alias("one"))
-               .groupBy(*row, "item", "__ith", "size").agg(F.count("*").alias("n_shared")))
+    met = (found.select(*row, F.explode("keys").alias("key")).join(asked, "key").select(*row, "__ith").distinct())
+    shared = met.join(own, "__ith").join(found.select(*row, F.explode("shingles").alias("s")), [*row, "s"])
+    counted = shared.groupBy(*row, "__ith", "size").agg(F.count("*").alias("n_shared"))
     share = F.col("n_shared") / F.col("size")
-    return (counted.filter(F.col("n_shared") >= F.ceil(F.round(F.lit(least) * F.col("size"), 6)))
+    good = counted.filter(F.col("n_shared") >= F.ceil(F.round(F.lit(least) * F.col("size"), 6)))
+    return (good.join(keyed.select("item", "__ith"), "__ith")
             .groupBy(*row, "item").agg(F.max("n_shared").alias("n_shared"), F.max(share).alias("containment")))
 
 
@@ -223,5 +242,6 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     python_tasks(spark)
     items = table(spark, sf_dir, "benchmark").select("item_id", "text")
     leaks = stored(contained(docs, items).select("__id", "__th").distinct(), "leaks")
-    rows = docs.withColumns({"__id": id_key(), "__th": text_hash()})
-    return rows.join(leaks, ["__id", "__th"], "left_anti").select(*docs.columns)
+    names = free_names(docs, "__id", "__th")
+    rows = docs.withColumns(dict(zip(names, (id_key(), text_hash()))))
+    return rows.join(leaks.toDF(*names), names, "left_anti").select(*docs.columns)
