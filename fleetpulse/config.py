@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from fleetpulse.operators.enrich import DEFAULT_BROADCAST_MAX_ROWS
-from fleetpulse.schemas import GTFS_SCHEMAS
+from fleetpulse.schemas import GTFS_SCHEMAS, ROSTER_SCHEMA
 
 
 @dataclass(frozen=True)
@@ -24,7 +24,7 @@ class PipelineConfig:
     source: str = "files"
     source_tag: str = "stream"
     landing_path: str | None = None
-    bronze_path: str | None = None
+    bronze_path: str | None = None       # None: the catalog table bronze_table
     checkpoint_path: str | None = None
     # Kafka endpoint; credentials come from the caller, never from code.
     kafka_bootstrap: str | None = None
@@ -56,6 +56,7 @@ class ReferenceSpec:
     keys: tuple[str, ...]
     fmt: str = "csv"
     schema: str | None = None          # DDL of known columns; None = infer
+    parts: int | None = None           # lay a new target out by this many parts of its key
     options: dict[str, str] = field(default_factory=dict)
 
 
@@ -65,9 +66,10 @@ GTFS_SPECS = (
     ReferenceSpec("routes.txt", "bronze_gtfs_routes", ("route_id",), schema=GTFS_SCHEMAS["routes.txt"]),
     ReferenceSpec("stops.txt", "bronze_gtfs_stops", ("stop_id",), schema=GTFS_SCHEMAS["stops.txt"]),
     ReferenceSpec("trips.txt", "bronze_gtfs_trips", ("trip_id",), schema=GTFS_SCHEMAS["trips.txt"]),
-    ReferenceSpec("stop_times.txt", "bronze_gtfs_stop_times", ("trip_id", "stop_sequence"), schema=GTFS_SCHEMAS["stop_times.txt"]),
+    ReferenceSpec("stop_times.txt", "bronze_gtfs_stop_times", ("trip_id", "stop_sequence"),
+                  schema=GTFS_SCHEMAS["stop_times.txt"]),
     ReferenceSpec("calendar_dates.txt", "bronze_gtfs_calendar_dates", ("service_id", "date"), schema=GTFS_SCHEMAS["calendar_dates.txt"]),
     ReferenceSpec("agency.txt", "bronze_gtfs_agency", ("agency_id",), schema=GTFS_SCHEMAS["agency.txt"]),
 )
 VEHICLES_SPEC = ReferenceSpec("vehicles.json", "bronze_vehicles", ("vehicleCode",), fmt="json",
-                              options={"multiLine": "false"})
+                              schema=ROSTER_SCHEMA, options={"multiLine": "false"})

@@ -9,7 +9,7 @@ calls would add.  Rounded means use the exact integer helpers.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetpulse.functions.aggregates import (round_mean_int_2dp,
@@ -18,13 +18,13 @@ from fleetpulse.functions.aggregates import (round_mean_int_2dp,
 from fleetpulse.functions.scalar import delay_tenths
 
 
-def _per_vehicle(df: DataFrame, keys: list[str], trip_only_delay: bool) -> DataFrame:
-    """Partial measures per (keys, vehicleId)."""
+def _measures(trip_only_delay: bool) -> list[Column]:
+    """Sums, counts and maxima of readings."""
     t = delay_tenths("delay_min")
     if trip_only_delay:
         t = F.when(F.col("has_trip"), t)
     moving_speed = F.when(F.col("is_moving"), F.col("speed"))
-    return df.groupBy(*keys, "vehicleId").agg(
+    return [
         F.count(F.lit(1)).alias("_rows"),
         F.sum(t).alias("_s_delay"),
         F.count(t).alias("_n_delay"),
@@ -33,6 +33,13 @@ def _per_vehicle(df: DataFrame, keys: list[str], trip_only_delay: bool) -> DataF
         F.count(moving_speed).alias("_n_speed"),
         F.sum(F.col("is_delayed").cast("int")).alias("_t_delayed"),
         F.count(F.col("is_delayed")).alias("_n_delayed"),
+    ]
+
+
+def _per_vehicle(df: DataFrame, keys: list[str], trip_only_delay: bool) -> DataFrame:
+    """Partial measures per (keys, vehicleId)."""
+    return df.groupBy(*keys, "vehicleId").agg(
+        *_measures(trip_only_delay),
         F.max(F.when(F.col("is_delayed"), 1)).alias("_any_delayed"),
         F.max(F.when(F.col("is_stopped"), 1)).alias("_any_stopped"),
     )
@@ -71,16 +78,14 @@ def vehicle_partials(silver: DataFrame, table: str) -> DataFrame:
     return _per_vehicle(src, keys, trip_only_delay=trip_only)
 
 
-def merge_partials(old: DataFrame, new: DataFrame, table: str) -> DataFrame:
-    """Partials of two disjoint batches of readings -> partials of both.
+def merge_partials(parts: DataFrame, table: str) -> DataFrame:
+    """Partials of several disjoint batches of readings -> one per (group, vehicle).
 
-    The result is one row per (group, vehicle); its size follows the fleet
-    and the groups, not the number of readings.
+    Its size follows the fleet and the groups, not the number of readings.
     """
     keys = PARTIAL_SPECS[table][0]
-    both = old.unionByName(new.select(*old.columns))
-    return both.groupBy(*keys, "vehicleId").agg(
-        *[fn(c).alias(c) for c, fn in PARTIAL_MERGE.items() if c in old.columns])
+    return parts.groupBy(*keys, "vehicleId").agg(
+        *[fn(c).alias(c) for c, fn in PARTIAL_MERGE.items() if c in parts.columns])
 
 
 def gold_from_partials(pv: DataFrame, table: str) -> DataFrame:
@@ -148,6 +153,77 @@ def destination_from_partials(pv: DataFrame) -> DataFrame:
     )
 
 
+class Exact:
+    """Summaries by partials per (group, vehicle): distinct vehicles are exact."""
+
+    by_vehicle = True
+    partials, merge, result = staticmethod(vehicle_partials), staticmethod(merge_partials), staticmethod(gold_from_partials)
+
+
+# Sketches of distinct vehicles: with 2^SKETCH_BITS buckets the standard error
+# is about 1.04 / sqrt(2^SKETCH_BITS), 1.6 percent.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+# Vehicle sketches of the approximate partials: name -> which readings count.
+SKETCHES = {"_vehicles": None, "_delayed": "is_delayed", "_stopped": "is_stopped"}
+
+
+def _numbers(df: DataFrame) -> list[str]:
+    """The partial sums and maxima, which need no vehicles."""
+    return [c for c in PARTIAL_MERGE if c in df.columns and not c.startswith("_any")]
+
+
+def sketch_partials(silver: DataFrame, table: str) -> DataFrame:
+    """Partials per group: the sums and maxima, and a sketch of the vehicles."""
+    keys, cond, trip_only = PARTIAL_SPECS[table]
+    src = silver if cond is None else silver.filter(cond)
+    flags = {n: f for n, f in SKETCHES.items() if f is None or trip_only is not None}
+    sums = [F.count(F.lit(1)).alias("_rows")] if trip_only is None else _measures(trip_only)
+    return src.groupBy(*keys).agg(*sums, *[
+        F.hll_sketch_agg(F.col("vehicleId") if f is None else F.when(F.col(f), F.col("vehicleId")),
+                         SKETCH_BITS).alias(n) for n, f in flags.items()])
+
+
+def merge_sketches(parts: DataFrame, table: str) -> DataFrame:
+    """Partials of several disjoint batches of readings -> one per group."""
+    return parts.groupBy(*PARTIAL_SPECS[table][0]).agg(
+        *[PARTIAL_MERGE[c](c).alias(c) for c in _numbers(parts)],
+        *[F.hll_union_agg(n).alias(n) for n in SKETCHES if n in parts.columns])
+
+
+def gold_from_sketches(parts: DataFrame, table: str) -> DataFrame:
+    """A summary whose vehicle counts are estimates; all else is exact."""
+    def vehicles(name):
+        return F.coalesce(F.hll_sketch_estimate(name), F.lit(0).cast("long"))
+
+    delay = ("avg_delay_min", lambda: round_mean_tenths_2dp(F.col("_s_delay"), F.col("_n_delay")))
+    most = ("max_delay_min", lambda: F.col("_max_delay") / F.lit(10.0))
+    speed = ("avg_speed", lambda: round_mean_int_2dp(F.col("_s_speed"), F.col("_n_speed")))
+    of = {
+        "period_summary": [
+            ("total_vehicles", lambda: vehicles("_vehicles")), ("total_readings", lambda: F.col("_rows")), delay, most,
+            ("delayed_reading_pct", lambda: round_pct_1dp(F.col("_t_delayed"), F.col("_n_delayed"))), speed],
+        "route_summary": [
+            ("active_vehicles", lambda: vehicles("_vehicles")), delay, most, speed,
+            ("delayed_vehicles", lambda: vehicles("_delayed")), ("stopped_vehicles", lambda: vehicles("_stopped"))],
+        "destination_summary": [
+            ("active_vehicles", lambda: vehicles("_vehicles")), delay, speed,
+            ("delayed_vehicles", lambda: vehicles("_delayed"))],
+        "delay_distribution": [
+            ("records_count", lambda: F.col("_rows")), ("vehicles_count", lambda: vehicles("_vehicles"))],
+    }[table]
+    return parts.select(*PARTIAL_SPECS[table][0], *[make().alias(n) for n, make in of])
+
+
+class Approximate:
+    """Summaries by one partial per group, with mergeable vehicle sketches in
+    place of a row per vehicle: for fleets too large for those."""
+
+    by_vehicle = False
+    partials, merge, result = staticmethod(sketch_partials), staticmethod(merge_sketches), staticmethod(gold_from_sketches)
+
+
 # Columns of the current-fleet serving table, in order.
 FLEET_COLUMNS = ("vehicleId", "vehicleCode", "routeShortName", "headsign",
                  "lat", "lon", "delay", "delay_min", "delay_bucket", "speed",

@@ -82,10 +82,11 @@ def map_markers(snapshot: DataFrame) -> DataFrame:
     )
 
 
-def map_legend(snapshot: DataFrame) -> DataFrame:
-    delayed = F.count_if(F.col("delay") > 120)
-    return snapshot.agg(
-        F.count(F.lit(1)).alias("total"),
-        delayed.alias("delayed"),
-        (F.count(F.lit(1)) - delayed).alias("on_time"),
-    )
+def map_legend(readings: DataFrame, col: str = "lastUpdate") -> DataFrame:
+    """Legend of the newest snapshot (max ``col``), in one pass: counts by
+    snapshot, combined map-side, then those of the newest.  Zeros without one."""
+    by_snapshot = readings.groupBy(col).agg(F.count(F.lit(1)).alias("total"),
+                                            F.count_if(F.col("delay") > 120).alias("delayed"))
+    newest = by_snapshot.agg(F.max_by(F.struct("total", "delayed"), col).alias("n"))
+    total, delayed = (F.coalesce(f"n.{c}", F.lit(0).cast("long")) for c in ("total", "delayed"))
+    return newest.select(total.alias("total"), delayed.alias("delayed"), (total - delayed).alias("on_time"))

@@ -6,16 +6,15 @@ Queries that write go to a fresh location under the shared scratch root
 
 from __future__ import annotations
 
-import os
 import uuid
-from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
+from fleetpulse.functions.scalar import utc_time
 from fleetpulse.config import GTFS_SPECS, VEHICLES_SPEC, ReferenceSpec
 from fleetpulse.plans.queries import register
 from fleetpulse.schemas import EVENT_V1
-from fleetpulse.session import local_path, scratch_path
+from fleetpulse.session import scratch_path
 from fleetpulse.sources import adapters as A
 from fleetpulse.sources import events as EV
 from fleetpulse.sources import reference as R
@@ -198,6 +197,37 @@ def q_medallion_chain(spark, sf):
     return R.load_report(spark, {n: store.read(spark, n) for n in names})
 
 
+# Keys and measures of the tables that the chain writes.
+CHAIN_TABLES = {
+    "gold_period_summary": ((), ("total_vehicles", "total_readings", "avg_delay_min", "max_delay_min",
+                                 "delayed_reading_pct", "avg_speed")),
+    "gold_route_summary": (("routeId", "routeShortName", "transportationType"),
+                           ("active_vehicles", "avg_delay_min", "max_delay_min", "avg_speed", "delayed_vehicles",
+                            "stopped_vehicles")),
+    "gold_delay_distribution": (("delay_bucket", "transportationType"), ("records_count", "vehicles_count")),
+    "gold_destination_summary": (("routeShortName", "headsign", "transportationType"),
+                                 ("active_vehicles", "avg_delay_min", "avg_speed", "delayed_vehicles")),
+    "gold_fleet_current": (("vehicleId", "vehicleCode", "routeShortName", "headsign", "delay_bucket",
+                            "transportationType", "model"), ("lat", "lon", "delay", "delay_min", "speed", "is_moving")),
+    "gold_live_kpi": ((), ("active_vehicles", "stopped_vehicles", "delayed_vehicles", "avg_delay_min", "max_delay_min")),
+}
+
+
+@register("medallion_contents")
+def q_medallion_contents(spark, sf):
+    """Every measure of every row of the six gold tables that the chain writes."""
+    from fleetpulse.plans.medallion import Store, run_medallion
+    store = Store(root=scratch_path(spark, "medallion"))
+    run_medallion(spark, A.feed(spark, sf), A.routes_bronze(spark, sf), A.vehicles_bronze(spark, sf), store)
+    parts = None
+    for table, (keys, measures) in CHAIN_TABLES.items():
+        name = F.concat_ws("|", F.lit(table), *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys])
+        pairs = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures])
+        rows = store.read(spark, table).select(name.alias("row_name"), F.inline(pairs))
+        parts = rows if parts is None else parts.unionByName(rows)
+    return parts
+
+
 @register("route_summary_incremental")
 def q_route_summary_incremental(spark, sf):
     """Route summary refreshed in two runs over disjoint halves of the
@@ -214,35 +244,48 @@ def q_route_summary_incremental(spark, sf):
     return store.read(spark, "gold_route_summary")
 
 
+@register("route_summary_approximate")
+def q_route_summary_approximate(spark, sf):
+    """The route summary from vehicle sketches, refreshed in two runs: vehicle
+    counts within three standard errors of the exact ones, the rest exact."""
+    from fleetpulse.operators import gold
+    from fleetpulse.plans.medallion import Store, refresh_gold
+    from fleetpulse.plans.queries import silver
+    store = Store(root=scratch_path(spark, "approximate"))
+    s = silver(spark, sf)
+    early = F.coalesce(F.col("event_time") < F.lit("2024-01-16").cast("timestamp_ntz"), F.lit(False))
+    refresh_gold(spark, s.filter(early), store, 0, ("route_summary",), approximate=True)
+    refresh_gold(spark, s.filter(~early), store, 1, ("route_summary",), approximate=True)
+    keys = gold.PARTIAL_SPECS["route_summary"][0]
+    counts = ("active_vehicles", "delayed_vehicles", "stopped_vehicles")
+    exact = gold.route_summary(s).select(*[F.col(k).alias(f"_{k}") for k in keys],
+                                         *[F.col(c).alias(f"_{c}") for c in counts])
+    got = store.read(spark, "gold_route_summary")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    near = [(F.abs(F.col(c) - F.col(f"_{c}")) <= 3 * gold.SKETCH_ERROR * F.col(f"_{c}") + 0.5).alias(f"{c}_near")
+            for c in counts]
+    return got.join(exact, same, "left").select(*keys, "avg_delay_min", "max_delay_min", "avg_speed", *near)
+
+
+@register("merge_pruned")
+def q_merge_pruned(spark, sf):
+    """The insert-only merge by composite key into a target laid out by a hash
+    of the key; the second load reads only the parts that its keys fall into."""
+    target = R.PATH_PREFIX + scratch_path(spark, "lineitem-parts")
+    li = read_table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+    early = F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    R.insert_only_merge(spark, li.filter(early), target, ["l_orderkey", "l_linenumber"], parts=16)
+    R.insert_only_merge(spark, li, target, ["l_orderkey", "l_linenumber"])
+    return R.read_target(spark, target)
+
+
 @register("latest_snapshot_file")
 def q_latest_snapshot_file(spark, sf):
-    """Rows of the newest landed snapshot, newest by file modification time."""
+    """Rows of the newest landed snapshot, by the records of their arrival;
+    each arrived when it was last updated."""
     path = scratch_path(spark, "landing")
-    EV.write_snapshots(A.feed(spark, sf), path)
-    _stamp_mtimes(path)
-    schema = (f"lastUpdate STRING, vehicles ARRAY<STRUCT<"
-              + ", ".join(f"{f.name}: {f.dataType.simpleString()}"
-                          for f in EVENT_V1.fields if f.name != "lastUpdate") + ">>")
-    landed = spark.read.schema(schema).json(path).select(
-        "*", F.col("_metadata.file_modification_time").alias("_mtime"))
-    newest = EV.newest_snapshot(landed, "_mtime", "snapshot")
-    return _flat_snapshot_columns(EV.snapshot_flatten(newest))
-
-
-def _stamp_mtimes(path: str) -> None:
-    """Give each landed snapshot the modification time of its name.
-
-    A producer lands one snapshot per poll, so file times follow snapshot
-    names; a single batch write has to restore that.  Only possible on a
-    local filesystem; elsewhere the write times are kept.
-    """
-    root = local_path(path)
-    if root is None or not os.path.isdir(root):
-        return
-    for d in os.listdir(root):
-        if not d.startswith("snapshot=gps_"):
-            continue
-        stamp = datetime.strptime(d[len("snapshot=gps_"):-len(".json")], "%Y%m%d_%H%M%S")
-        t = stamp.replace(tzinfo=timezone.utc).timestamp()
-        for f in os.listdir(os.path.join(root, d)):
-            os.utime(os.path.join(root, d, f), (t, t))
+    EV.land_snapshots(A.feed(spark, sf), path, arrived=utc_time("lastUpdate"))
+    return _flat_snapshot_columns(EV.newest_snapshot(spark, path))

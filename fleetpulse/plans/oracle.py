@@ -406,12 +406,21 @@ FROM demo WHERE occupancy IS NOT NULL"""
     q["occupancy_counts"] = with_(FEED, EVOLUTION) + """
 SELECT occupancy, count(*) AS count FROM demo GROUP BY occupancy"""
     q["stream_dedup"] = with_(FEED) + """
-SELECT vehicleId, generated, event_id FROM feed"""
+SELECT vehicleId, generated, event_id, lat, lon, enqueued_ts FROM feed"""
     q["stream_enrich"] = with_(*SILVER_ALL) + """
 SELECT "offset" AS event_id, vehicleCode, routeId, route_color, brand, transportationType,
        delay_bucket, event_time_local
 FROM silver"""
     q["stream_fleet_current"] = with_(*SILVER_ALL, FLEET) + "SELECT * FROM fleet"
+    q["stream_changing_routes"] = with_(*SILVER_ALL) + """
+SELECT "offset" AS event_id, routeId,
+       CASE WHEN routeId <= 5 OR event_time >= TIMESTAMP '2024-01-16' THEN route_color END AS route_color
+FROM silver"""
+    q["bronze_table_stream"] = with_(FEED) + """
+SELECT "offset" AS event_id, vehicleId, delay,
+       CASE WHEN ts >= TIMESTAMP '2024-01-21' THEN ['LOW', 'MEDIUM', 'HIGH'][k % 3 + 1] END AS occupancy,
+       event_time, 'stream' AS _source
+FROM feed"""
     return q
 
 
@@ -430,10 +439,22 @@ def chain_sql(core: dict[str, str]) -> dict[str, str]:
 
 
 def oracle_queries() -> dict[str, str]:
+    from fleetpulse.plans.io_queries import CHAIN_TABLES
     q = core_sql()
     q.update(serving_sql())
     q.update(io_sql())
     q.update(stream_sql())
     q.update(chain_sql(q))
     q["route_summary_incremental"] = q["route_summary"]
+    q["chain_incremental"] = q["route_summary"]
+    q["route_summary_approximate"] = f"""
+SELECT routeId, routeShortName, transportationType, avg_delay_min, max_delay_min, avg_speed,
+       TRUE AS active_vehicles_near, TRUE AS delayed_vehicles_near, TRUE AS stopped_vehicles_near
+FROM ({q["route_summary"]})"""
+    q["medallion_contents"] = "\nUNION ALL\n".join(
+        f"SELECT concat_ws('|', '{table}'" + "".join(f", coalesce(CAST({k} AS VARCHAR), '-')" for k in keys)
+        + f") AS row_name, '{m}' AS measure, CAST({m} AS DOUBLE) AS value FROM ({q[table[len('gold_'):]]})"
+        for table, (keys, measures) in CHAIN_TABLES.items() for m in measures)
+    q["merge_pruned"] = q["merge_composite_key"]
+    q["silver_compacted"] = q["stream_dedup"]
     return q

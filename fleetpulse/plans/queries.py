@@ -234,4 +234,4 @@ def q_map_markers(spark, sf):
 
 @register("map_legend")
 def q_map_legend(spark, sf):
-    return serving.map_legend(serving.latest_snapshot(A.feed(spark, sf), "lastUpdate"))
+    return serving.map_legend(A.feed(spark, sf), "lastUpdate")

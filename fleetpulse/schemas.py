@@ -74,3 +74,9 @@ GTFS_SCHEMAS = {
     "agency.txt": "agency_id STRING, agency_name STRING, agency_url STRING, "
                   "agency_timezone STRING",
 }
+
+# The vehicle roster: sizes and counts are numbers, equipment is yes or no.
+ROSTER_SCHEMA = ("vehicleCode STRING, transportationType STRING, vehicleCharacteristics STRING, brand STRING, "
+                 "model STRING, productionYear BIGINT, length DOUBLE, seats BIGINT, standingPlaces BIGINT, "
+                 "floorHeight STRING, driveType STRING, carrirer STRING, airConditioning BOOLEAN, "
+                 "wheelchairsRamp BOOLEAN, ticketMachine BOOLEAN, usb BOOLEAN")

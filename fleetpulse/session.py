@@ -29,9 +29,9 @@ DEFAULT_CONF = {
 # * streams do not use AQE: their state is split into
 #   ``spark.sql.shuffle.partitions`` parts, fixed in the checkpoint at the
 #   first start, so that number stays moderate;
-# * streaming state (dedup keys within the watermark, latest position per
-#   vehicle) lives in RocksDB, off the executor heap, with changelog
-#   checkpoints so each batch uploads only its changes.
+# * state of stateful streaming operators, where a job adds some (silver keeps
+#   its ledger in files), lives in RocksDB, off the executor heap, with
+#   changelog checkpoints so each batch uploads only its changes.
 CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -65,17 +65,38 @@ def target_exists(spark: SparkSession, target: str) -> bool:
     return path_exists(spark, _path(target))
 
 
-def read_target(spark: SparkSession, target: str) -> DataFrame:
+# A target laid out by key has a partition column of this name and its number
+# of parts, a hash of the merge key modulo that number.
+KEY_PART = "_key_part_"
+
+
+def part_column(target: DataFrame) -> str | None:
+    return next((c for c in target.columns if c.startswith(KEY_PART)), None)
+
+
+def key_part(keys: Sequence[str], column: str) -> Column:
+    """The part of a key (NULLs included)."""
+    return F.pmod(F.xxhash64(*keys), F.lit(int(column[len(KEY_PART):]))).cast("int")
+
+
+def _read(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(_path(target)) if _is_path(target) else spark.read.table(target)
 
 
+def read_target(spark: SparkSession, target: str) -> DataFrame:
+    out = _read(spark, target)
+    part = part_column(out)
+    return out.drop(part) if part else out
+
+
 def _write(df: DataFrame, target: str, mode: str) -> None:
+    part = part_column(df)
+    # one task a part, so that a load adds one file to each part it touches
+    writer = (df.repartition(part).write.partitionBy(part) if part else df.write).mode(mode)
     if _is_path(target):
-        df.write.mode(mode).parquet(_path(target))
-    elif mode == "append":
-        df.write.mode("append").saveAsTable(target)
+        writer.parquet(_path(target))
     else:
-        df.write.mode(mode).saveAsTable(target)
+        writer.saveAsTable(target)
 
 
 def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -96,19 +117,38 @@ def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataF
         source.filter(any_null))
 
 
+def touched_parts(existing: DataFrame, source: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """A target laid out by key, cut to the parts that the source's keys fall
+    into (the scan leaves the others out), and the source with its parts."""
+    part = part_column(existing)
+    kinds = {f.name: f.dataType for f in existing.schema}
+    source = source.select(*[F.col(c).cast(kinds[c]).alias(c) for c in source.columns if c in kinds],
+                           *[c for c in source.columns if c not in kinds])
+    source = source.withColumn(part, key_part(keys, part))
+    parts = [r[0] for r in source.select(part).distinct().collect()]        # at most the number of parts
+    return existing.filter(F.col(part).isin(parts)), source
+
+
 def insert_only_merge(spark: SparkSession, source: DataFrame, target: str,
-                      keys: Sequence[str]) -> str:
+                      keys: Sequence[str], parts: int | None = None) -> str:
     """Create the target on first load, else append only unseen keys.
 
     Returns the action taken (``created`` / ``merged``).  The anti join is
     an ordinary shuffle (or broadcast, by AQE's runtime sizes) join, so it
-    scales with both sides; appends never rewrite existing files.
+    scales with both sides; appends never rewrite existing files.  With
+    ``parts``, a new target is laid out by a hash of the key, and later merges
+    read only the parts that their keys fall into.
     """
     if not target_exists(spark, target):
+        if parts:
+            source = source.withColumn(f"{KEY_PART}{parts}", key_part(keys, f"{KEY_PART}{parts}"))
         _write(source, target, "errorifexists")
         return "created"
-    existing = read_target(spark, target)
-    fresh = new_rows(source, existing, keys)
+    existing = _read(spark, target)
+    held = existing
+    if part_column(existing):
+        held, source = touched_parts(existing, source, keys)
+    fresh = new_rows(source, held, keys)
     _write(fresh.select(*existing.columns), target, "append")
     return "merged"
 
@@ -121,7 +161,7 @@ def load_reference(spark: SparkSession, base: str, specs: Iterable[ReferenceSpec
         src = add_load_metadata(read_reference(spark, f"{base.rstrip('/')}/{spec.file_name}", spec),
                                 spec.file_name)
         target = target_of(spec)
-        action = insert_only_merge(spark, src, target, spec.keys)
+        action = insert_only_merge(spark, src, target, spec.keys, spec.parts)
         report.append((spec.table, target, action, spec.keys))
     return load_report(spark, {t: read_target(spark, tgt) for t, tgt, _, _ in report},
                        actions={t: a for t, _, a, _ in report},

@@ -3,8 +3,8 @@
 Progress lives in the checkpoint, so a restart (on the same checkpoint)
 continues where the last run stopped and never repeats rows; a lost
 executor only re-runs its task.  A restart may use an evolved event schema:
-the path sink keeps old files as written and new files carry the new
-column; readers merge the schemas.
+old files stay as written and new files carry the new column; readers of a
+path merge the schemas, a catalog table gets the column.
 """
 
 from __future__ import annotations
@@ -34,18 +34,35 @@ def land(readings: DataFrame, landing_path: str, fields: list[str]) -> None:
     to_envelope(readings, fields).write.mode("append").parquet(landing_path)
 
 
+def add_missing_columns(spark: SparkSession, table: str, schema: StructType) -> None:
+    """Add to an existing table the columns that ``schema`` has and it lacks;
+    rows written before read them as NULL."""
+    spark.catalog.refreshTable(table)
+    held = set(spark.table(table).columns)
+    new = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name not in held]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
+
+
 def start_ingest(spark: SparkSession, cfg: PipelineConfig,
                  schema: StructType = EVENT_V1) -> StreamingQuery:
+    """Append the parsed source to bronze: a path, or without one the catalog
+    table ``cfg.bronze_table``, which is created at the first start and gets
+    the new columns of an evolved contract."""
     parsed = parse_events(read_source(spark, cfg), schema, cfg.source_tag)
     writer = (parsed.writeStream.format("parquet")
-              .option("path", cfg.bronze_path)
               .option("checkpointLocation", cfg.checkpoint_path)
               .outputMode("append"))
     if cfg.trigger_interval:
         writer = writer.trigger(processingTime=cfg.trigger_interval)
     else:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    if cfg.bronze_path:
+        return writer.option("path", cfg.bronze_path).start()
+    table = cfg.table(cfg.bronze_table)
+    if spark.catalog.tableExists(table):
+        add_missing_columns(spark, table, parsed.schema)
+    return writer.toTable(table)
 
 
 def drain(query: StreamingQuery, timeout_s: float | None = None) -> None:
@@ -88,3 +105,21 @@ def read_bronze(spark: SparkSession, path: str,
     if event_schema is not None:
         return spark.read.schema(bronze_schema(spark, event_schema)).parquet(path)
     return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def bronze_rows(spark: SparkSession, cfg: PipelineConfig, event_schema: StructType = EVENT_V1) -> DataFrame:
+    """Batch read of a job's bronze, by path or by table name."""
+    if cfg.bronze_path:
+        return read_bronze(spark, cfg.bronze_path, event_schema)
+    table = cfg.table(cfg.bronze_table)
+    spark.catalog.refreshTable(table)
+    return spark.read.table(table)
+
+
+def stream_bronze(spark: SparkSession, cfg: PipelineConfig, event_schema: StructType = EVENT_V1) -> DataFrame:
+    """A job's bronze as a stream of its new rows."""
+    path = cfg.bronze_path
+    if not path:
+        about = spark.sql(f"DESCRIBE FORMATTED {cfg.table(cfg.bronze_table)}")
+        path = about.filter("col_name = 'Location'").first()["data_type"]
+    return spark.readStream.schema(bronze_schema(spark, event_schema)).parquet(path)

@@ -14,7 +14,7 @@ from fleetpulse.sources import reference as R
 from fleetpulse.sources.events import to_payload
 from fleetpulse.plans.medallion import GOLD_TABLES, Store, run_medallion
 from fleetpulse.sources import adapters as A
-from tests.conftest import SF001
+from tests.conftest import SF001, SF01
 
 
 def _write_text(spark, name, text):
@@ -169,6 +169,79 @@ def test_incremental_gold_equals_batch(spark):                  # JOB4 at scale
         got = store.read(spark, f"gold_{table}").select(*want.columns)
         rows = lambda df: sorted(map(tuple, df.collect()), key=repr)  # noqa: E731 - NULLs sort too
         assert rows(got) == rows(want), table
+    with pytest.raises(ValueError):
+        refresh_gold(spark, silver, store, 1)
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_killed_refresh_leaves_the_old_tables(spark, monkeypatch, catalog):      # JOB4
+    """A refresh that fails after the partials but before the summary, or
+    before the record, changes nothing that is read, and can be run again."""
+    from fleetpulse.operators import gold
+    from fleetpulse.plans.medallion import refresh_gold
+    from fleetpulse.plans.silver import build_silver
+    silver = build_silver(A.feed(spark, SF001), A.routes_bronze(spark, SF001),
+                          A.vehicles_bronze(spark, SF001)).persist()
+    if catalog:
+        spark.sql("DROP DATABASE IF EXISTS fleet_killed CASCADE")
+        spark.sql(f"CREATE DATABASE fleet_killed LOCATION '{scratch_path(spark, 'killed')}'")
+        store = Store(database="fleet_killed")
+    else:
+        store = Store(root=scratch_path(spark, "killed"))
+    read = lambda: (spark.table("fleet_killed.gold_route_summary") if catalog
+                    else store.read(spark, "gold_route_summary"))
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    parts = [silver.filter(f"offset % 3 = {n}") for n in range(3)]
+    upto = lambda n: gold.route_summary(silver.filter(f"offset % 3 <= {n}"))
+    save = Store._save
+    for n in range(3):
+        for at in (1, 2):                                   # before the summary, before the record
+            writes = []
+
+            def failing(self, df, name):
+                writes.append(name)
+                if len(writes) > at:
+                    raise RuntimeError("lost")
+                save(self, df, name)
+
+            monkeypatch.setattr(Store, "_save", failing)
+            monkeypatch.setattr(Store, "switch", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+            with pytest.raises(RuntimeError):
+                refresh_gold(spark, parts[n], store, n, ("route_summary",))
+            monkeypatch.undo()
+            if n:
+                assert rows(read()) == rows(upto(n - 1))
+        refresh_gold(spark, parts[n], store, n, ("route_summary",))
+        assert rows(read()) == rows(upto(n))
+    silver.unpersist()
+
+
+def test_approximate_summaries(spark):                          # AF1, AF2
+    """Sketched vehicle counts stay near the exact ones over several batches,
+    and everything else is exact."""
+    from fleetpulse.operators import gold
+    from fleetpulse.plans.medallion import refresh_gold
+    from fleetpulse.plans.silver import build_silver
+    silver = build_silver(A.feed(spark, SF01), A.routes_bronze(spark, SF01), A.vehicles_bronze(spark, SF01)).persist()
+    store = Store(root=scratch_path(spark, "sketches"))
+    for n in (0, 1, 1, 2):
+        refresh_gold(spark, silver.filter(f"offset % 3 = {n}"), store, n, approximate=True)
+    for table, (keys, _, _) in gold.PARTIAL_SPECS.items():
+        exact = getattr(gold, table)(silver)
+        got = store.read(spark, f"gold_{table}")
+        assert got.columns == exact.columns
+        key = lambda r: repr(tuple(r[k] for k in keys))
+        both = list(zip(sorted(exact.collect(), key=key), sorted(got.collect(), key=key)))
+        assert len(both) == exact.count() == got.count()
+        for a, b in both:
+            for c in exact.columns:
+                if c.endswith("vehicles") or c == "vehicles_count":
+                    assert abs(a[c] - b[c]) <= 3 * gold.SKETCH_ERROR * a[c] + 0.5, (table, c)
+                else:
+                    assert a[c] == b[c], (table, c)
+        # one partial per group, whatever the fleet
+        assert store.read(spark, f"{table}_partials").count() == exact.count()
+    silver.unpersist()
 
 
 def test_unreadable_target_is_not_missing(spark, tmp_path):
@@ -200,3 +273,74 @@ def test_small_negative_mean_is_plain_zero(spark):
     x = spark.sql("SELECT -1L s, 1000L n UNION ALL SELECT -15L, 10L").select(
         round_mean_tenths_2dp(F.col("s"), F.col("n")).alias("m")).collect()
     assert [str(r.m) for r in x] == ["0.0", "-0.15"]
+
+
+def test_merge_reads_only_touched_parts(spark):                 # SNK4, JON3
+    """A target laid out by key: the scan of a merge is cut to the parts of the
+    load's keys; NULL and composite keys behave as without parts."""
+    target = R.PATH_PREFIX + scratch_path(spark, "parts")
+    keys = ["a", "b"]
+    first = spark.range(500).selectExpr("CAST(id AS INT) a", "CAST(id % 7 AS STRING) b", "'old' v")
+    nulls = spark.createDataFrame([(None, "x", "n"), (3, None, "n")], "a int, b string, v string")
+    assert R.insert_only_merge(spark, first.union(nulls), target, keys, parts=8) == "created"
+    # the same keys as another type
+    load = spark.createDataFrame([(3, "3", "new"), (900, "x", "new"), (None, "x", "n2")], "a long, b string, v string")
+    held, cut = R.touched_parts(R._read(spark, target), load, keys)
+    parts = {r[0] for r in cut.select("_key_part_8").distinct().collect()}
+    assert len(parts) < 8 and {r[0] for r in held.select("_key_part_8").distinct().collect()} == parts
+    text = held._jdf.queryExecution().executedPlan().toString()
+    assert any("PartitionFilters" in x and "_key_part_8" in x for x in text.splitlines())
+    assert R.insert_only_merge(spark, load, target, keys) == "merged"
+    out = R.read_target(spark, target)
+    assert out.columns == ["a", "b", "v"] and out.count() == 504
+    assert {tuple(r) for r in out.filter("v <> 'old'").collect()} == {(None, "x", "n"), (3, None, "n"), (900, "x", "new"), (None, "x", "n2")}
+    # the same rows as a target without parts
+    plain = R.PATH_PREFIX + scratch_path(spark, "no-parts")
+    R.insert_only_merge(spark, first.union(nulls), plain, keys)
+    R.insert_only_merge(spark, load, plain, keys)
+    assert sorted(map(repr, R.read_target(spark, plain).collect())) == sorted(map(repr, out.collect()))
+
+
+def test_snapshot_lines_and_newest(spark):                      # SNK6, SRC7
+    """One vehicle on each line with its lastUpdate; the newest snapshot is
+    the one that arrived last, whatever the times of its files."""
+    import os
+    from fleetpulse.schemas import EVENT_V1
+    from fleetpulse.sources import events as EV
+    path = scratch_path(spark, "snaps")
+    assert EV.newest_snapshot(spark, path) is None
+    feed = A.feed(spark, SF001)
+    hours = [r[0] for r in feed.select("lastUpdate").distinct().orderBy("lastUpdate").limit(3).collect()]
+    # the middle one arrives last
+    for n in (0, 2, 1):
+        EV.land_snapshots(feed.filter(F.col("lastUpdate") == hours[n]), path)
+    files = f"{local_path(path)}/files"
+    for folder in os.listdir(files):
+        if folder.startswith("snapshot="):
+            for name in os.listdir(f"{files}/{folder}"):
+                os.utime(f"{files}/{folder}/{name}", (1, 1))
+                if name.endswith(".json"):
+                    for line in open(f"{files}/{folder}/{name}"):
+                        one = json.loads(line)
+                        assert set(one) == set(EVENT_V1.fieldNames()) and one["lastUpdate"] in hours
+    newest = EV.newest_snapshot(spark, path)
+    want = feed.filter(F.col("lastUpdate") == hours[1]).select(*EVENT_V1.fieldNames())
+    assert sorted(map(repr, newest.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+    assert all("snapshot=gps_" in f for f in newest.inputFiles())
+
+
+def test_map_legend_in_one_pass(spark):                         # AGG11
+    from fleetpulse.operators import serving
+    feed = A.feed(spark, SF001)
+    plan = serving.map_legend(feed)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert tuple(serving.map_legend(feed.limit(0)).first()) == (0, 0, 0)
+
+
+def test_pages_are_bounded_for_every_partition(spark):
+    """Offsets count within a broker partition, so pages are cut in each."""
+    from fleetpulse.sources import events as EV
+    rows = spark.range(1000).selectExpr("CAST(id AS INT) vehicleId", "'2024-01-01T00:00:00Z' lastUpdate",
+                                        "CAST(id % 4 AS INT) `partition`", "id DIV 4 `offset`")
+    pages = EV.nest_snapshots(rows, 50).selectExpr("size(vehicles) n").collect()
+    assert max(r.n for r in pages) == 50 and sum(r.n for r in pages) == 1000
