@@ -3,14 +3,16 @@
 All rolling word pairs of a text are joined with the places of equal pairs in
 license templates.  A hit at word p of the text and word q of the template
 votes for the diagonal p - q, where the template would start.  Votes are
-summed for each diagonal, diagonals a few words apart (inserted or missing
-words) are merged, and a span counts if enough different template pairs were
-found in not too long a stretch.  A base phrase must be found whole, on one
-diagonal.
+summed for each diagonal.  For a base phrase, all of its pairs must lie on one
+diagonal.  For a notice, diagonals up to its length apart are merged (inserted,
+missing or moved words), and a span is verified: some stretch of at most
+STRETCH times the notice's length must hold at least COVERED of its different
+pairs, wherever in the merged diagonals it starts.
 
 Cases: a null or empty text has no words, no places and score 0; rows that
 repeat id and text get equal results; a place that several templates claim
-counts for each; an empty table gives no rows.
+counts for each; repeated notices count once for the labels; a very long text
+is scanned whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -39,9 +41,9 @@ NOTICES = (
     ("all rights reserved", "all-rights-reserved"),
 )
 WORD_BREAK = r"[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-APART = 2                  # words between diagonals that still belong together
 COVERED = 0.75             # least share of a notice's pairs
 STRETCH = 1.5              # longest span, in lengths of the notice
+APART = 1.0                # distance of diagonals that still belong together, in lengths of the notice
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -71,25 +73,29 @@ def hits(docs: DataFrame) -> DataFrame:
 
 
 def spans(found: DataFrame) -> DataFrame:
-    """Merged diagonals: (row, n_words, template, start, stop, share, base)."""
+    """Whole phrases and the fullest stretch of each group of merged diagonals:
+    (row, n_words, template, d, share, base)."""
     row = ["__id", "__th", "n_words", "template", "label", "m", "base"]
-    votes = found.groupBy(*row, (F.col("p") - F.col("q")).alias("d")).agg(
-        F.bit_or(F.expr("shiftleft(1L, greatest(q, 0))")).alias("pairs"), F.min("p").alias("lo"), F.max("p").alias("hi"))
-    w = Window.partitionBy("__id", "__th", "template").orderBy("d")
-    fresh = F.col("base") | F.coalesce(F.col("d") - F.lag("d").over(w) > APART, F.lit(True))
-    grouped = votes.withColumn("new", fresh.cast("int")).withColumn("part", F.sum("new").over(w))
-    return grouped.groupBy(*row, "part").agg(
-        F.min("d").alias("d"), F.min("lo").alias("start"), (F.max("hi") + 1).alias("stop"),
-        F.bit_count(F.bit_or("pairs")).alias("n_pairs")).withColumn(
-        "share", F.when(F.col("template") >= 0, F.col("n_pairs") / (F.col("m") - 1)).otherwise(F.lit(0.0)))
+    voted = found.withColumns({"d": F.col("p") - F.col("q"), "bit": F.expr("shiftleft(1L, greatest(q, 0))")})
+    share = F.when(F.col("template") >= 0, F.bit_count("pairs") / (F.col("m") - 1)).otherwise(F.lit(0.0))
+    phrases = voted.filter("base OR template < 0").groupBy(*row, "d").agg(F.bit_or("bit").alias("pairs"))
+    own = Window.partitionBy("__id", "__th", "template").orderBy("d", "p")
+    fresh = F.coalesce(F.col("d") - F.lag("d").over(own) > APART * F.col("m"), F.lit(True))
+    merged = (voted.filter("NOT base AND template >= 0").withColumn("new", fresh.cast("int"))
+              .withColumn("part", F.sum("new").over(own)))
+    # the pairs of places p to p + STRETCH * m - 2 lie in a stretch of STRETCH * m words
+    stretch = F.expr(f"""bit_or(bit) OVER (PARTITION BY __id, __th, template, part
+        ORDER BY CAST(p / ({STRETCH} * m - 1.5) AS double) RANGE BETWEEN CURRENT ROW AND 1.0D FOLLOWING)""")
+    fullest = merged.withColumn("pairs", stretch).groupBy(*row, "part").agg(
+        F.max_by("pairs", F.struct(F.bit_count("pairs"), -F.col("d"))).alias("pairs"), F.min("d").alias("d"))
+    return phrases.unionByName(fullest.drop("part")).withColumn("share", share)
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """One row for each distinct (id, text): places, labels and score."""
     s = spans(hits(docs))
     phrase = F.col("base") & (F.col("share") == 1)
-    notice = (~F.col("base") & (F.col("share") >= COVERED)
-              & (F.col("stop") - F.col("start") + 1 <= STRETCH * F.col("m")))
+    notice = ~F.col("base") & (F.col("share") >= COVERED)
     label = lambda c: F.array_join(F.array_sort(F.collect_set(F.when(c, F.col("label")))), ",")
     return s.groupBy("__id", "__th", "n_words").agg(
         F.count(F.when(phrase, 1)).alias("n_base"), F.min(F.when(phrase, F.col("d").cast("long"))).alias("first_word"),
