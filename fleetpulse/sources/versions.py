@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SLOTS = 3
@@ -41,12 +42,14 @@ class Journal:
     def records(self, spark: SparkSession) -> list[tuple[int, dict[str, int]]]:
         """The last records (at most SLOTS), newest first."""
         rows = read_known(spark, self.path, RECORD + ", slot int").collect()
-        return sorted(((r.seq, dict(r.entries)) for r in rows), key=lambda r: -r[0])
+        return sorted(((r.seq, dict(r.entries or {})) for r in rows), key=lambda r: -r[0])
 
     def last(self, spark: SparkSession, before: int | None = None) -> tuple[int, dict[str, int]] | None:
         """The newest record, or the newest one numbered below ``before``."""
         return next((r for r in self.records(spark) if before is None or r[0] < before), None)
 
     def put(self, spark: SparkSession, seq: int, entries: dict[str, int]) -> None:
-        (spark.createDataFrame([(seq, entries)], RECORD).coalesce(1)
-         .write.mode("overwrite").parquet(f"{self.path}/slot={seq % SLOTS}"))
+        pairs = [x for k, v in entries.items() for x in (F.lit(k), F.lit(v).cast("long"))]
+        made = F.create_map(*pairs) if pairs else F.lit(None)
+        (spark.range(1).select(F.lit(seq).cast("long").alias("seq"), made.cast("map<string,bigint>").alias("entries"))
+         .coalesce(1).write.mode("overwrite").parquet(f"{self.path}/slot={seq % SLOTS}"))

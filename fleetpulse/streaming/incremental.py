@@ -47,6 +47,7 @@ KEY = ("vehicleId", "generated")
 EPOCH = date(1970, 1, 1)
 BASED = ("rows", "ledger")          # what compaction rewrites
 BASES = f"{DAY} date, upto bigint"
+FILE_ROWS = 1_000_000               # readings of a day and batch that go to one file
 
 # Both dimensions, read anew for every micro-batch.
 Dimensions = Callable[[SparkSession], tuple[DataFrame, DataFrame]]
@@ -219,18 +220,31 @@ def update_latest(held: DataFrame | None, rows: DataFrame, replaced: DataFrame |
     return fleet_latest(parts, LATEST_KEEP)
 
 
+def by_day(rows: DataFrame, days: list) -> DataFrame:
+    """Rows dealt so that a day's folder gets one file for each FILE_ROWS of
+    its readings: ``days`` holds each day and how many it has."""
+    parts = max((-(-n // FILE_ROWS) for _, n in days), default=1)
+    spread = F.pmod(F.xxhash64(*KEY), F.lit(parts))
+    return rows.repartition(max(1, len(days) * parts), DAY, spread)
+
+
 def take_batch(batch: DataFrame, batch_id: int, store: SilverStore, dimensions: Dimensions | None,
                tz: str = "Europe/Warsaw", broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                after: Callable[[SilverBatch], None] | None = None) -> None:
     """Bring one batch of parsed readings into silver."""
     spark = batch.sparkSession
+    # a stream's session has it off; no operator here keeps state, and the
+    # tables that a batch writes should not have a file for each shuffle partition
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
     before = store.journal.last(spark, before=batch_id)
     fresh = dedup_readings(typed_timestamps(batch)).withColumn(DAY, F.to_date("event_time")).persist()
+    won = fresh
     try:
+        days = fresh.groupBy(DAY).count().collect()                              # calendar days
         won = fresh.withColumn("_held", F.lit(None).cast(fresh.select(delivery()).schema[0].dataType))
         if before:
-            days = [r[0] for r in fresh.select(DAY).distinct().collect()]        # calendar days
-            won = compared(fresh, read_ledger(spark, store, fresh.schema, days, batch_id))
+            won = compared(fresh, read_ledger(spark, store, fresh.schema, [d[0] for d in days], batch_id))
+        won = by_day(won, days).persist()
         won.select(*KEY, *DELIVERY_ORDER, DAY).write.mode("overwrite").partitionBy(DAY).parquet(
             store.of_batch("ledger", batch_id))
         lost = won.filter(F.col("_held").isNotNull()).select(
@@ -245,11 +259,12 @@ def take_batch(batch: DataFrame, batch_id: int, store: SilverStore, dimensions:
             out = enrich_vehicles(enrich_routes(bbox_filter(derive(out, tz)), r, r_shuf), v, v_shuf)
             out = out.withColumn("transportationType", normalise_type("transportationType"))
         plain = out.drop(DAY).schema
-        if before is None or store.row_schema(spark) != plain:
+        if before is None or store.row_schema(spark).simpleString() != plain.simpleString():
             spark.createDataFrame([], plain).write.mode("overwrite").parquet(store.folder("schema"))
         out.write.mode("overwrite").partitionBy(DAY).parquet(store.of_batch("rows", batch_id))
     finally:
         fresh.unpersist()
+        won.unpersist()
     # from here on, what was written is read
     schema = out.schema
     mine = read_known(spark, store.of_batch("rows", batch_id), schema)
