@@ -40,7 +40,7 @@ import tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import documents, python_tasks, stored
+from fleetpulse.llm.common import documents, in_tasks, python_tasks, stored
 from fleetpulse.llm.words import chunks, list_column, raw_texts
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -246,8 +246,9 @@ def alignments(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                     "a_to": list_column(g.a_to - np.repeat(a.bounds[:-1], n), cut),
                     "b_to": list_column(g.b_to - np.repeat(b.bounds[:-1], n), cut)})
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, a_ids array<int>, b_ids array<int>, a_to array<long>, b_to array<long>")
+    return in_tasks(
+        docs.select("doc_id", "text"), run,
+        f"doc_id {kind}, a_ids array<int>, b_ids array<int>, a_to array<long>, b_to array<long>")
 
 
 def linked(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -278,9 +279,10 @@ def linked(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                     "pairs": list_column(key % (size_a * size_b), cut),
                     "times": list_column(times, cut)})
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
-             "pairs array<long>, times array<long>")
+    return in_tasks(
+        docs.select("doc_id", "text"), run,
+        f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
+        "pairs array<long>, times array<long>")
 
 
 def link_counts(links: DataFrame, b_size: int) -> DataFrame:
@@ -318,7 +320,7 @@ def looked_up(links: DataFrame, hot: tuple[np.ndarray, np.ndarray, np.ndarray])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in links.schema
                        if f.name not in ("pairs", "times"))
-    return links.mapInArrow(run, f"{fields}, hot_best long, hot_sum long, pairs array<long>, times array<long>")
+    return in_tasks(links, run, f"{fields}, hot_best long, hot_sum long, pairs array<long>, times array<long>")
 
 
 def align_documents(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:

@@ -27,12 +27,12 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import documents, python_tasks
+from fleetpulse.llm.common import documents, in_tasks, python_tasks
 from fleetpulse.llm.words import chunks, raw_texts
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 FIRST_CHAR = 0x100         # byte b is written as the character FIRST_CHAR + b
-CACHED_PRETOKENS = 400_000  # distinct pre-tokens in one generation of a worker's cache
+CACHED_PRETOKENS = 200_000  # distinct pre-tokens in one generation of a worker's cache
 
 # Field numbers and constants of the public model format.
 PIECE, TRAINER, NORMALIZER = 1, 2, 3
@@ -178,7 +178,9 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN)
                 yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"),
                                                   "ids": pa.array(ids, pa.list_(pa.int32()))})
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return in_tasks(
+        docs.select("doc_id", "text"), run,
+        f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -192,7 +194,7 @@ def decode(encoded: DataFrame, path: str, pattern: str = public_tokenizers.PATTE
                 yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"),
                                                   "data": pa.array(data, pa.binary())})
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, data binary")
+    return in_tasks(encoded.select("doc_id", "ids"), run, f"doc_id {kind}, data binary")
 
 
 def digests(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -208,8 +210,9 @@ def digests(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN
                     "doc_id": batch.column("doc_id"), "n_tokens": pa.array(n, pa.int64()),
                     "ids_sha256": pa.array(ids, pa.string()), "decoded_sha256": pa.array(data, pa.string())})
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return in_tasks(
+        docs.select("doc_id", "text"), run,
+        f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,5 +239,6 @@ def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
                     "doc_id": batch.column("doc_id"), "n_tokens": pa.array([len(i) for i in ids], pa.int64()),
                     "ids": pa.array(ids, pa.list_(pa.int32())), "round_trip": pa.array(whole)})
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, ids array<int>, round_trip boolean")
+    return in_tasks(
+        docs.select("doc_id", "text"), run,
+        f"doc_id {kind}, n_tokens long, ids array<int>, round_trip boolean")

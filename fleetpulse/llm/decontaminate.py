@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import documents, free_names, id_key, python_tasks, stored, table, text_hash
+from fleetpulse.llm.common import documents, free_names, id_key, in_tasks, python_tasks, stored, table, text_hash
 from fleetpulse.llm.words import ALNUM, Words, chunks, list_column, longs, minima, mix, multipliers, raw_texts
 
 SAMPLES = 64
@@ -79,7 +79,7 @@ def item_keys(items: DataFrame, item_id: str) -> DataFrame:
                     "shingles": pa.array([r[3] for r in rows], pa.list_(pa.int64()))})
 
     rows = items.select(F.col(item_id).alias("item"), text_hash().alias("__ith"), "text").distinct()
-    return rows.mapInArrow(run, f"item {kind}, __ith long, words long, level int, keys array<long>, shingles array<long>")
+    return in_tasks(rows, run, f"item {kind}, __ith long, words long, level int, keys array<long>, shingles array<long>")
 
 
 class KeyFilter:
@@ -181,7 +181,8 @@ def promising(docs: DataFrame, samples: KeyFilter, held: KeyFilter, levels: list
                     own.append((np.repeat(np.arange(n), np.diff(ends)), part))
                     hit = own_flt.has(part)
                     found.append((own[-1][0][hit], part[hit]))
-                keys, ends = grouped(*(np.concatenate(x) for x in zip(*found)), n) if found else (sh[:0], np.zeros(n + 1, int))
+                found = found or [(np.empty(0, np.int64), sh[:0])]
+                keys, ends = grouped(*(np.concatenate(x) for x in zip(*found)), n)
                 some = np.flatnonzero(np.diff(ends))
                 if not len(some):
                     continue
@@ -196,7 +197,7 @@ def promising(docs: DataFrame, samples: KeyFilter, held: KeyFilter, levels: list
                     "keys": list_column(longs(keys), ends), "shingles": list_column(longs(shingles), cut)}
                 ).take(pa.array(some))
 
-    return rows.mapInArrow(run, "__id long, __th long, keys array<long>, shingles array<long>")
+    return in_tasks(rows, run, "__id long, __th long, keys array<long>, shingles array<long>")
 
 
 def contained(docs: DataFrame, items: DataFrame, item_id: str = "item_id", least: float = CONTAINED) -> DataFrame:

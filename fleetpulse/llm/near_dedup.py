@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import documents, free_names, id_key, python_tasks, stored, text_hash
+from fleetpulse.llm.common import documents, free_names, id_key, in_tasks, python_tasks, stored, text_hash
 from fleetpulse.llm.components import components
 from fleetpulse.llm.words import NOT_SPACE, Words, chunks, list_column, longs, minima, mix, multipliers, raw_texts
 
@@ -108,7 +108,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                     "bands": list_column(longs(bands.ravel()), has * BANDS),
                     "sketch": list_column(sketch.ravel(), np.arange(hi - lo + 1) * (SKETCH_BITS // 64))})
 
-    return rows.mapInArrow(run, "__id long, __th long, n long, cls long, bands array<long>, sketch array<long>")
+    return in_tasks(rows, run, "__id long, __th long, n long, cls long, bands array<long>, sketch array<long>")
 
 
 def shingle_sets(rows: DataFrame, k: int) -> DataFrame:
@@ -121,7 +121,7 @@ def shingle_sets(rows: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"cls": batch.column("cls").slice(lo, hi - lo),
                                                   "shingles": list_column(longs(sets), bounds)})
 
-    return rows.select("cls", "text").mapInArrow(run, "cls long, shingles array<long>")
+    return in_tasks(rows.select("cls", "text"), run, "cls long, shingles array<long>")
 
 
 def _similar(similarity: float) -> str:
