@@ -304,11 +304,69 @@ def test_ppm(spark, sf, rows):
                    for x in want[r.doc_id])
 
 
-def test_ppm_probabilities_sum_to_one():
-    rng = np.random.default_rng(1)
-    code = np.unique(rng.integers(0, ppm.SYMBOLS ** 4, 5000))
-    p = 10 ** ppm.byte_model(code, rng.integers(1, 9, len(code))).reshape(-1, ppm.SYMBOLS).astype(float)
-    assert np.allclose(p.sum(axis=1), 1, atol=1e-4)
+def brute_ppm(train, texts):
+    """Plain method C with exclusion over contexts of up to ORDER bytes."""
+    counts = defaultdict(Counter)
+    frame = lambda t: bytes([ppm.END] * ppm.ORDER) + (t or "").encode() + bytes([ppm.END])
+    for t in train:
+        d = frame(t)
+        for i in range(ppm.ORDER, len(d)):
+            for k in range(ppm.ORDER + 1):
+                counts[d[i - k:i]][d[i]] += 1
+
+    def distribution(context):
+        shorter = distribution(context[1:]) if context else np.full(256, 1 / 256)
+        own = counts.get(context)
+        if not own:
+            return shorter
+        total, kinds = sum(own.values()), len(own) if len(own) < 256 else 0
+        seen = np.array([s in own for s in range(256)])
+        p = np.where(seen, 0, shorter)
+        p *= kinds / (total + kinds) / p.sum()
+        for s, n in own.items():
+            p[s] = n / (total + kinds)
+        return p
+
+    kept = {}
+
+    def logp(context, s):
+        if context not in kept:
+            p = distribution(context)
+            assert abs(p.sum() - 1) < 1e-9
+            kept[context] = np.log10(p)
+        return kept[context][s]
+
+    out = []
+    for t in texts:
+        d = frame(t)
+        out.append(sum(logp(d[i - ppm.ORDER:i], d[i]) for i in range(ppm.ORDER, len(d))))
+    return out
+
+
+@pytest.mark.parametrize("share", [1e-7, 0.01])
+def test_ppm_score_equals_brute_force(spark, sf, rows, monkeypatch, share):
+    """Trie scores of whole texts; with few nodes looked up in the tasks, the
+    joined ones give the rest."""
+    monkeypatch.setattr(ppm, "NODE_SHARE", share)
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5 if i is not None else 0
+    small = [(i, t) for i, t in rows if len(t or "") < 3000][:90] + [(None, "null id"), (-1, None), (-2, "")]
+    docs = spark.createDataFrame(small, "doc_id long, text string")
+    common.python_tasks(spark)
+    got = ppm.score_documents(docs, common.fold("doc_id", 5) != 1).collect()
+    want = brute_ppm([t for i, t in small if fold(i) != 1], [t for _, t in small])
+    key = lambda r: (str(r[0]), r[1])
+    for a, b in zip(sorted(((r.doc_id, r.score) for r in got), key=key), sorted(zip([i for i, _ in small], want), key=key)):
+        assert a[0] == b[0] and math.isclose(a[1], b[1], abs_tol=1e-5)
+    copies = [r.score for r in got if r.doc_id == -2]
+    assert len(got) == len(small) and len(set(copies)) <= 1
+
+
+def test_ppm_learns_from_longer_contexts(spark, sf, rows):
+    """The trie predicts held-out texts better than order three does."""
+    got = ppm.op7_ppm(spark, sf).filter("held_out").collect()
+    size = {i: len((t or "").encode()) + 1 for i, t in rows}
+    bits = -sum(r.score for r in got) / math.log10(2) / sum(size[r.doc_id] for r in got)
+    assert bits < 3.2
 
 
 def test_toxicity_reads_disguised_words(spark):
