@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import ascii_lower, documents, id_key, text_hash
+from fleetpulse.llm.common import ascii_lower, documents, id_key, stored, text_hash
 
 # Base phrases and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -93,7 +93,8 @@ def spans(found: DataFrame) -> DataFrame:
 
 def scan(docs: DataFrame) -> DataFrame:
     """One row for each distinct (id, text): places, labels and score."""
-    s = spans(hits(docs))
+    # written, as phrases and notices both read the hits
+    s = spans(stored(hits(docs), "license-hits"))
     phrase = F.col("base") & (F.col("share") == 1)
     notice = ~F.col("base") & (F.col("share") >= COVERED)
     label = lambda c: F.array_join(F.array_sort(F.collect_set(F.when(c, F.col("label")))), ",")
