@@ -113,7 +113,10 @@ def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataF
     # shuffle, where they would all land on one reducer
     keyed = source.filter(~any_null)
     cond = [keyed[k] == target[k] for k in keys]
-    return keyed.join(target.select(*keys), cond, "left_anti").unionByName(
+    # files of repeated keys are small, their rows are not: by the size of its
+    # files, the target would be gathered in the driver to be broadcast
+    held = target.select(*keys).hint("shuffle_merge")
+    return keyed.join(held, cond, "left_anti").unionByName(
         source.filter(any_null))
 
 
@@ -134,8 +137,8 @@ def insert_only_merge(spark: SparkSession, source: DataFrame, target: str,
     """Create the target on first load, else append only unseen keys.
 
     Returns the action taken (``created`` / ``merged``).  The anti join is
-    an ordinary shuffle (or broadcast, by AQE's runtime sizes) join, so it
-    scales with both sides; appends never rewrite existing files.  With
+    a shuffle join, so it scales with both sides and no table passes through
+    the driver; appends never rewrite existing files.  With
     ``parts``, a new target is laid out by a hash of the key, and later merges
     read only the parts that their keys fall into.
     """
