@@ -8,8 +8,9 @@ plain and the restored words are then scored: words and word beginnings carry
 log-odds learnt from labelled texts, as far as a sparse regression needs them,
 and a text's score is the logistic of their sum over its different words.
 
-The models learn from a sample of at most about TRAIN_ROWS labelled rows (all
-of them, where there are fewer); every text is scored whole.
+The models learn from all labelled texts: Spark counts their features, and
+the regression sums its gradients over the different sets of features that
+texts have, in tasks where these are many.  Every text is scored whole.
 
 Cases: a null or empty text, or one without any sign of toxicity, has the
 score of the intercept alone, which is low; without labelled rows every text
@@ -23,7 +24,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,8 @@ from pyspark.sql import functions as F
 from fleetpulse.llm.common import documents, fold, in_tasks, python_tasks, stored, table, text_hash
 from fleetpulse.llm.words import raw_texts
 
-TRAIN_ROWS = 40_000        # expected size of the labelled sample, at most
+KEPT_WORDS = 300_000       # different words that a task counts before it passes them on
+BLOCK = 50_000             # feature sets that are summed at a time
 SUPPORT, SHARE = 4, 0.02   # toxic texts that a feature needs, and their share of all toxic ones
 WEIGHT = 2.0               # least log-odds of a feature
 STEPS, PENALTY = 400, 1.0  # of the regression; the penalty is in texts
@@ -263,64 +266,124 @@ class Model:
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, total))))
 
 
-def explaining(rows: list[tuple[int, list[int]]], n: int) -> np.ndarray:
+class Block(NamedTuple):
+    """Feature sets with their label and how many texts have them; ``col``
+    holds the features of all, ``row`` the set of each."""
+
+    toxic: np.ndarray
+    texts: np.ndarray
+    col: np.ndarray
+    row: np.ndarray
+
+    @property
+    def width(self) -> np.ndarray:
+        return (np.bincount(self.row, minlength=len(self.texts)) + 1.0) * self.texts
+
+
+def block(rows: Iterator[tuple]) -> Block:
+    """Rows of (``toxic``, ``features``, ``texts``) in a fixed order."""
+    rows = sorted((int(t), list(f), int(n)) for t, f, n in rows)
+    return Block(np.array([r[0] for r in rows], dtype=float), np.array([r[2] for r in rows], dtype=float),
+                 np.array([c for r in rows for c in r[1]], dtype=np.int64),
+                 np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows]).astype(np.int64))
+
+
+def summed_up(sets: DataFrame) -> Callable[[Callable[[Block], np.ndarray]], np.ndarray]:
+    """A function that adds up what another one gives for each block of ``sets``:
+    here, if they are few enough for one block, or else by a Spark job."""
+    n = sets.count()
+    if n <= BLOCK:
+        one = block(sets.collect())
+        return lambda part: part(one)
+    blocks = sets.repartition(-(-n // BLOCK)).rdd.mapPartitions(lambda rows: [block(rows)]).cache()
+    return lambda part: blocks.map(part).treeReduce(np.add)
+
+
+def explaining(sets: DataFrame, n: int) -> np.ndarray:
     """Which of ``n`` features a sparse logistic regression keeps: one whose
-    toxic texts others explain (rare words of copied texts, say) drops out."""
-    if not rows:
+    toxic texts others explain (rare words of copied texts, say) drops out.
+    ``sets`` has the different feature sets (``toxic``, ``features``, ``texts``)."""
+    add = summed_up(sets)
+
+    def sizes(b: Block) -> np.ndarray:
+        width = b.width
+        return np.concatenate(([b.texts.sum(), (b.toxic * b.texts).sum(), width.sum()],
+                               np.bincount(b.col, weights=width[b.row], minlength=n)))
+
+    texts, toxic, width, *columns = add(sizes)
+    if not texts or not n:
         return np.zeros(n, dtype=bool)
-    y = np.array([r[0] for r in rows], dtype=float)
-    col = np.array([c for r in rows for c in r[1]], dtype=np.int64)
-    row = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
-    width = np.bincount(row, minlength=len(rows)) + 1.0
-    w, b = np.zeros(n), math.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
-    step = 1 / np.maximum(0.25 * np.bincount(col, weights=width[row], minlength=n), 1e-9)
+    w, b = np.zeros(n), math.log((toxic + 0.5) / (texts - toxic + 0.5))
+    step = 1 / np.maximum(0.25 * np.array(columns), 1e-9)
+
+    def gradient(w: np.ndarray, b: float) -> Callable[[Block], np.ndarray]:
+        def part(x: Block) -> np.ndarray:
+            at = b + np.bincount(x.row, weights=w[x.col], minlength=len(x.texts))
+            over = (1 / (1 + np.exp(-np.clip(at, -50, 50))) - x.toxic) * x.texts
+            return np.concatenate(([over.sum()], np.bincount(x.col, weights=over[x.row], minlength=n)))
+        return part
+
     for _ in range(STEPS):
-        p = 1 / (1 + np.exp(-np.clip(b + np.bincount(row, weights=w[col], minlength=len(rows)), -50, 50)))
-        w = w - step * np.bincount(col, weights=(p - y)[row], minlength=n)
-        w = np.maximum(w - step * PENALTY, 0.0)          # only signs of toxicity count
-        b -= (p - y).sum() / (0.25 * width.sum())
+        total = add(gradient(w, b))
+        # only signs of toxicity count
+        w = np.maximum(w - step * total[1:] - step * PENALTY, 0.0)
+        b -= total[0] / (0.25 * width)
     return w > 0
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learn from ``docs`` (``doc_id``, ``text``) that ``labels`` (``doc_id``,
-    ``toxic``) marks; texts that several rows share count once."""
-    known = (labels.filter(F.col("toxic").isNotNull()).groupBy("doc_id")
-             .agg(F.collect_set((F.col("toxic") != 0).cast("int")).alias("toxic")))
-    rate = min(1.0, TRAIN_ROWS / max(known.count(), 1))
-    # an id is in the sample by a hash of it, so no sort and no fixed part of the table
-    known = known.filter((F.xxhash64("doc_id", F.lit("sample")) % 1_000_000 + 1_000_000) % 1_000_000 < rate * 1e6)
-    # about TRAIN_ROWS ids at most, whatever the tables: only the sample's texts are moved
-    rows = (docs.join(F.broadcast(known), "doc_id")
-            .select(text_hash().alias("th"), F.coalesce("text", F.lit("")).alias("text"), F.explode("toxic").alias("toxic"))
-            .dropDuplicates(["th", "toxic"]).drop("th"))
-    rows = stored(rows, "labelled")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, sizes = Counter(), [0, 0]
-        toxic, clean = Counter(), Counter()
-        for batch in batches:
-            for text, label in zip(raw_texts(batch.column("text")), batch.column("toxic").to_pylist()):
-                words = set(WORD.findall(text.decode().lower()))
-                (toxic if label else clean).update(features(words))
-                sizes[bool(label)] += 1
-                for w in words:
-                    grams.update(word_grams(w))
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Each text of ``docs`` that ``labels`` marks, once, with its different
+    labels.  Ids and hashes of texts meet first, so each text moves once."""
+    known = labels.filter(F.col("toxic").isNotNull()).select("doc_id", (F.col("toxic") != 0).cast("int").alias("toxic"))
+    by_text = (docs.select("doc_id", text_hash().alias("th")).join(known.distinct().hint("shuffle_merge"), "doc_id")
+               .groupBy("th").agg(F.sort_array(F.collect_set("toxic")).alias("toxic")))
+    texts = docs.groupBy(text_hash().alias("th")).agg(F.first(F.coalesce("text", F.lit(""))).alias("text"))
+    return texts.join(by_text.hint("shuffle_merge"), "th").select("text", "toxic")
+
+
+def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many toxic and clean texts have each feature (``w``), how often
+    words hold each character trigram (``g``), and how many texts there are (``n``)."""
+    def counted(held: tuple[Counter, Counter], sizes: list[int]) -> pa.RecordBatch:
+        grams = Counter()
+        for one in held:
+            for w, n in one.items():
+                if w[0] != "^":
+                    for g in word_grams(w):
+                        grams[g] += n
+        clean, toxic = held
         keys = list(toxic.keys() | clean.keys())
-        names = [f"w{k}" for k in keys] + [f"g{g}" for g in grams] + ["n"]
-        yield pa.RecordBatch.from_pydict({
-            "name": pa.array(names, pa.string()),
+        return pa.RecordBatch.from_pydict({
+            "name": pa.array([f"w{k}" for k in keys] + [f"g{g}" for g in grams] + ["n"], pa.string()),
             "toxic": pa.array([toxic[k] for k in keys] + [0] * len(grams) + [sizes[1]], pa.int64()),
             "clean": pa.array([clean[k] for k in keys] + list(grams.values()) + [sizes[0]], pa.int64())})
 
-    summed = stored(in_tasks(rows, run, "name string, toxic long, clean long")
+    held, sizes = (Counter(), Counter()), [0, 0]       # of clean and of toxic texts
+    for batch in batches:
+        for text, marks in zip(raw_texts(batch.column("text")), batch.column("toxic").to_pylist()):
+            found = features(set(WORD.findall(text.decode().lower())))
+            for label in marks:
+                held[label].update(found)
+                sizes[label] += 1
+            if len(held[0]) + len(held[1]) > KEPT_WORDS:
+                yield counted(held, sizes)
+                held, sizes = (Counter(), Counter()), [0, 0]
+    yield counted(held, sizes)
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Learn from all ``docs`` (``doc_id``, ``text``) that ``labels`` (``doc_id``,
+    ``toxic``) marks; texts that several rows share count once."""
+    rows = stored(labelled(docs, labels), "labelled")
+    summed = stored(in_tasks(rows, word_counts, "name string, toxic long, clean long")
                     .groupBy("name").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "features")
     sizes = {r.name: r for r in summed.filter("name = 'n'").collect()}.get("n")
     n_toxic, n_clean = (sizes.toxic, sizes.clean) if sizes else (0, 0)
     odds = F.log((F.col("toxic") + 0.5) / F.lit(n_toxic + 1)) - F.log((F.col("clean") + 0.5) / F.lit(n_clean + 1))
-    # bounded by the sample, as each feature needs a share of its toxic texts
+    # few, as each feature needs a share of all toxic texts
     strong = (summed.filter(F.col("name").startswith("w") & (F.col("toxic") >= max(SUPPORT, SHARE * n_toxic))).withColumn("odds", odds)
               .filter(F.col("odds") >= WEIGHT).select("name", "odds").collect())
+    # trigrams of letters, not of texts
     grams = {r.name[1:]: float(r.clean) for r in
              summed.filter(F.col("name").startswith("g") & (F.col("clean") >= 3)).collect()}
     odds_of = {r.name[1:]: r.odds for r in strong}
@@ -329,21 +392,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [[place[f] for f in features(set(WORD.findall(t.decode().lower()))) if f in place]
+            found = [sorted(place[f] for f in features(set(WORD.findall(t.decode().lower()))) & place.keys())
                      for t in raw_texts(batch.column("text"))]
             yield pa.RecordBatch.from_pydict({"toxic": batch.column("toxic"),
                                               "features": pa.array(found, pa.list_(pa.int32()))})
 
-    # as many rows as the sample has; only places of strong features leave the tasks
-    sample = in_tasks(rows, hits, "toxic int, features array<int>").collect()
-    kept = explaining([(int(bool(r.toxic)), sorted(r.features)) for r in sample], len(names))
+    sets = stored(in_tasks(rows, hits, "toxic array<int>, features array<int>")
+                  .select(F.explode("toxic").alias("toxic"), "features")
+                  .groupBy("toxic", "features").agg(F.count(F.lit(1)).alias("texts")), "feature-sets")
+    kept = explaining(sets, len(names))
     weights = {name: odds_of[name] for name, k in zip(names, kept) if k}
     # the words that matter get half of the character model
     toxic_grams = Counter(g for w in weights if w[0] != "^" for g in word_grams(w))
     scale = sum(grams.values()) / max(1, sum(toxic_grams.values()))
     for g, n in toxic_grams.items():
         grams[g] = grams.get(g, 0.0) + n * scale
-    # a text without any feature is likelier clean than the sample's share says
+    # a text without any feature is likelier clean than the labelled texts' share says
     return Model(weights, min(-1.0, math.log((n_toxic + 0.5) / (n_clean + 0.5))) - 1.0, grams)
 
 
