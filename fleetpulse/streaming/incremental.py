@@ -47,7 +47,7 @@ KEY = ("vehicleId", "generated")
 EPOCH = date(1970, 1, 1)
 BASED = ("rows", "ledger")          # what compaction rewrites
 BASES = f"{DAY} date, upto bigint"
-FILE_ROWS = 1_000_000               # readings of a day and batch that go to one file
+FILE_ROWS = 200_000                 # readings of a day and batch that go to one task and file
 
 # Both dimensions, read anew for every micro-batch.
 Dimensions = Callable[[SparkSession], tuple[DataFrame, DataFrame]]
@@ -222,10 +222,18 @@ def update_latest(held: DataFrame | None, rows: DataFrame, replaced: DataFrame |
 
 def by_day(rows: DataFrame, days: list) -> DataFrame:
     """Rows dealt so that a day's folder gets one file for each FILE_ROWS of
-    its readings: ``days`` holds each day and how many it has."""
-    parts = max((-(-n // FILE_ROWS) for _, n in days), default=1)
-    spread = F.pmod(F.xxhash64(*KEY), F.lit(parts))
-    return rows.repartition(max(1, len(days) * parts), DAY, spread)
+    its readings: ``days`` holds each day and how many it has.  Every task has
+    readings of one file, so none grows with the batch."""
+    places, total = [], 0
+    for day, n in days:
+        parts = -(-n // FILE_ROWS)
+        places.append((day, total, parts))
+        total += parts
+    # one row for each calendar day
+    of_day = F.broadcast(rows.sparkSession.createDataFrame(places, "_day date, _first int, _parts int"))
+    dealt = rows.join(of_day, F.col(DAY).eqNullSafe(F.col("_day")))
+    spread = F.pmod(F.xxhash64(*KEY), F.col("_parts")).cast("int")
+    return dealt.repartitionById(max(1, total), F.col("_first") + spread).drop("_day", "_first", "_parts")
 
 
 def take_batch(batch: DataFrame, batch_id: int, store: SilverStore, dimensions: Dimensions | None,
