@@ -220,13 +220,13 @@ def update_latest(held: DataFrame | None, rows: DataFrame, replaced: DataFrame |
     return fleet_latest(parts, LATEST_KEEP)
 
 
-def by_day(rows: DataFrame, days: list) -> DataFrame:
+def by_day(rows: DataFrame, days: list, least: int = 1) -> DataFrame:
     """Rows dealt so that a day's folder gets one file for each FILE_ROWS of
-    its readings: ``days`` holds each day and how many it has.  Every task has
-    readings of one file, so none grows with the batch."""
+    its readings, or ``least`` files: ``days`` holds each day and how many it
+    has.  Every task has readings of one file, so none grows with the batch."""
     places, total = [], 0
     for day, n in days:
-        parts = -(-n // FILE_ROWS)
+        parts = max(least, -(-n // FILE_ROWS))
         places.append((day, total, parts))
         total += parts
     # one row for each calendar day
@@ -310,7 +310,8 @@ def start_silver(parsed: DataFrame, store: SilverStore, checkpoint: str, dimensi
 
 def compact(spark: SparkSession, store: SilverStore, before: date, files_per_day: int = 1) -> list[date]:
     """Rewrite the many small folders of days before ``before`` into a few files
-    for each day, without replaced rows; return the days rewritten.
+    for each day (``files_per_day``, more for a day of more readings than go to
+    these), without replaced rows; return the days rewritten.
 
     Only days with new batches since the last compaction are rewritten, and
     never the last batch, which may still be run again.  What is current
@@ -327,18 +328,18 @@ def compact(spark: SparkSession, store: SilverStore, before: date, files_per_day
     ledger = store.read(spark, "ledger", ledger_schema(readings), upto).filter(F.col(DAY) < F.lit(day))
     old = store.bases(spark, closed[0]) if closed else spark.createDataFrame([], BASES)
     # a day that is all in its base has nothing later than that
-    stale = (ledger.groupBy(DAY).agg(F.max(BATCH).alias("newest")).join(old, DAY, "left")
-             .filter(F.col("upto").isNull() | (F.col("newest") > F.col("upto"))).select(DAY))
-    days = [r[0] for r in stale.collect()]                                  # calendar days
+    stale = (ledger.groupBy(DAY).agg(F.max(BATCH).alias("newest"), F.count(F.lit(1)).alias("readings")).join(old, DAY, "left")
+             .filter(F.col("upto").isNull() | (F.col("newest") > F.col("upto"))).select(DAY, "readings"))
+    sizes = [tuple(r) for r in stale.collect()]                             # calendar days
+    days = [day for day, _ in sizes]
     if not days:
         return []
     in_days = F.col(DAY).isin(days)
-    spread = F.pmod(F.xxhash64(*KEY), F.lit(files_per_day))
     winners = ledger.filter(in_days).groupBy(*KEY, DAY).agg(F.min(delivery()).alias("_held")).select(
         *KEY, *[F.col(f"_held.{c}").alias(c) for c in DELIVERY_ORDER], DAY)
     rows = silver_until(spark, store, upto, last[1]["replaced"]).filter(in_days)
     for kind, df in (("ledger", winners), ("rows", rows)):
-        (df.repartition(DAY, spread).write.mode("overwrite").partitionBy(DAY)
+        (by_day(df, sizes, files_per_day).write.mode("overwrite").partitionBy(DAY)
          .parquet(f"{store.folder(f'base_{kind}')}/upto={upto}"))
     bases = old.filter(~in_days).unionByName(
         spark.createDataFrame([(d, upto) for d in days], BASES))
