@@ -152,7 +152,8 @@ def insert_only_merge(spark: SparkSession, source: DataFrame, target: str,
     if part_column(existing):
         held, source = touched_parts(existing, source, keys)
     fresh = new_rows(source, held, keys)
-    _write(fresh.select(*existing.columns), target, "append")
+    # files of one table hold one type for each column, whatever the load has
+    _write(fresh.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in existing.schema]), target, "append")
     return "merged"
 
 
